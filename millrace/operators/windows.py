@@ -7,11 +7,13 @@ up in one task.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from dataclasses import dataclass, field
 from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from millrace.functions.seeded import bernoulli, hash_uniform
 from millrace.operators.slots import SLOT, Carry, SlotPlan, in_slot, plan_slots, with_carries
@@ -86,6 +88,75 @@ def marker_sessions(
     )
 
 
+@dataclass(frozen=True)
+class Running:
+    """One running column: what it carries between slots, and its value."""
+
+    out: str
+    carries: tuple[Carry, ...]
+    value: Callable[[Sequence[str], Sequence[str]], Column]
+    inputs: dict[str, Column] = field(default_factory=dict)
+
+
+def sum_of(col: str, kind: T.DataType, start: Column | int | Decimal = 0, out: str = "running_sum") -> Running:
+    """``start`` plus the sum of ``col`` (of type ``kind``) so far; null counts as 0."""
+    value, carried = f"__v_{out}", f"__c_{out}"
+    zero = F.lit(0).cast(kind)
+    begin = start if isinstance(start, Column) else F.lit(start)
+
+    def total(by, order):
+        return begin + F.sum(value).over(in_slot(by, order)) + F.coalesce(F.col(carried), zero)
+
+    return Running(out, (Carry(carried, F.sum(value), "sum"),), total, {value: F.coalesce(F.col(col), zero)})
+
+
+def number_from(start: int = 1, out: str = "seq") -> Running:
+    """``start``, ``start + 1``, ... without gaps."""
+    carried = f"__c_{out}"
+
+    def number(by, order):
+        place = F.row_number().over(Window.partitionBy(SLOT, *by).orderBy(*order))
+        return F.coalesce(F.col(carried), F.lit(0)) + place + F.lit(start - 1).cast("bigint")
+
+    return Running(out, (Carry(carried, F.count(F.lit(1)), "sum"),), number)
+
+
+def filled(col: str, order: Sequence[str], fill_head: bool = True, out: str | None = None) -> Running:
+    """The last known value; before the first one, the first one."""
+    out = out or f"{col}_filled"
+    past, ahead = f"__p_{out}", f"__a_{out}"
+    known = F.when(F.col(col).isNotNull(), F.struct(*order))
+    carries = [Carry(past, F.max_by(col, known), "last")]
+    if fill_head:
+        carries.append(Carry(ahead, F.min_by(col, known), "next"))
+
+    def value(by, order):
+        parts = [F.last(col, ignorenulls=True).over(in_slot(by, order)), F.col(past)]
+        if fill_head:
+            whole = in_slot(by, order).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+            parts += [F.first(col, ignorenulls=True).over(whole), F.col(ahead)]
+        return F.coalesce(*parts)
+
+    return Running(out, tuple(carries), value)
+
+
+def add_running(
+    df: DataFrame,
+    columns: Sequence[Running],
+    order: Sequence[str],
+    by: Sequence[str] = (),
+    rows_per_slot: int | None = None,
+    plan: SlotPlan | None = None,
+) -> DataFrame:
+    """Add several running columns over one order: one carry table, one shuffle."""
+    plan = plan or plan_slots(df, order, by, rows_per_slot)
+    inputs = {name: c for column in columns for name, c in column.inputs.items()}
+    carries = [carry for column in columns for carry in column.carries]
+    work = with_carries(df.withColumns(inputs), plan, by, carries)
+    out = work.withColumns({column.out: column.value(by, order) for column in columns})
+    return out.drop(SLOT, *inputs, *[carry.name for carry in carries])
+
+
 def running_sum(
     df: DataFrame,
     col: str,
@@ -101,13 +172,8 @@ def running_sum(
     Give an integer or decimal column where the sum must be exact: a sum of
     doubles depends on how rows are grouped.
     """
-    plan = plan or plan_slots(df, order, by, rows_per_slot)
-    value = F.coalesce(F.col(col), F.lit(0).cast(df.schema[col].dataType))
-    work = with_carries(df.withColumn("__value", value), plan, by, [Carry("__in", F.sum("__value"), "sum")])
-    local = F.sum("__value").over(in_slot(by, order))
-    begin = start if isinstance(start, Column) else F.lit(start)
-    total = begin + local + F.coalesce(F.col("__in"), F.lit(0).cast(work.schema["__in"].dataType))
-    return work.withColumn(out, total).drop(SLOT, "__value", "__in")
+    column = sum_of(col, df.schema[col].dataType, start, out)
+    return add_running(df, [column], order, by, rows_per_slot, plan)
 
 
 def dense_sequence(
@@ -120,11 +186,7 @@ def dense_sequence(
     plan: SlotPlan | None = None,
 ) -> DataFrame:
     """Number rows ``start``, ``start + 1``, ... without gaps, per ``by`` group."""
-    plan = plan or plan_slots(df, order, by, rows_per_slot)
-    work = with_carries(df, plan, by, [Carry("__in", F.count(F.lit(1)), "sum")])
-    place = F.row_number().over(Window.partitionBy(SLOT, *by).orderBy(*order))
-    number = F.coalesce(F.col("__in"), F.lit(0)) + place + F.lit(start - 1).cast("bigint")
-    return work.withColumn(out, number).drop(SLOT, "__in")
+    return add_running(df, [number_from(start, out)], order, by, rows_per_slot, plan)
 
 
 def newest_rank(
@@ -154,19 +216,7 @@ def forward_fill(
     plan: SlotPlan | None = None,
 ) -> DataFrame:
     """Repeat the last known value; before the first one, use the first one."""
-    plan = plan or plan_slots(df, order, by, rows_per_slot)
-    known = F.when(F.col(col).isNotNull(), F.struct(*order))
-    carries = [Carry("__past", F.max_by(col, known), "last")]
-    if fill_head:
-        carries.append(Carry("__ahead", F.min_by(col, known), "next"))
-    work = with_carries(df, plan, by, carries)
-    parts = [F.last(col, ignorenulls=True).over(in_slot(by, order)), F.col("__past")]
-    if fill_head:
-        whole = Window.partitionBy(SLOT, *by).orderBy(*order).rowsBetween(
-            Window.unboundedPreceding, Window.unboundedFollowing
-        )
-        parts += [F.first(col, ignorenulls=True).over(whole), F.col("__ahead")]
-    return work.withColumn(out or f"{col}_filled", F.coalesce(*parts)).drop(SLOT, "__past", "__ahead")
+    return add_running(df, [filled(col, order, fill_head, out)], order, by, rows_per_slot, plan)
 
 
 def signed_walk(

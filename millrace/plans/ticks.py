@@ -10,11 +10,11 @@ from pyspark.sql import functions as F
 from millrace.functions.seeded import hash_uniform, jitter, uniform_int, weighted_choice
 from millrace.functions.text import token_to_null
 from millrace.functions.timetext import from_d_text, to_d_text
-from millrace.operators.keys import daily_first
-from millrace.operators.slots import plan_slots
+from millrace.operators.keys import first_per
 from millrace.operators.stacking import stack_days
-from millrace.operators.windows import dense_sequence, forward_fill, running_sum
+from millrace.operators.windows import add_running, filled, number_from, sum_of
 from millrace.schemas import TICK, TICK_COLUMNS, TICK_TIMES
+from millrace.storage import land
 
 # Weights of the price offsets of a quote, and the spreads.
 BID_OFFSETS, BID_WEIGHTS = (-2, -1, 0, 1), (60, 120, 180, 6)
@@ -112,17 +112,17 @@ def enrich(
     """Accumulated volume, feed number, filled price, bid and ask, and the day's
     open, high and low, over all rows in ``(ts, tie)`` order.
 
-    One set of cut points serves the three running columns, and the slots they
-    need are the same, so they share their shuffle.
+    The three running columns share one set of cut points, one carry table and
+    one shuffle. The daily opens are landed and joined.
     """
     order = [ts, tie]
-    plan = plan_slots(df, order)
-    out = running_sum(df, volume, order, out="acc_volume", plan=plan)
-    out = forward_fill(out, price, order, out="filled_price", plan=plan)
-    out = dense_sequence(out, order, start=FIRST_FEED_NUMBER, out="feed_number", plan=plan)
-    out = bid_ask(out, "filled_price", [tie], f"{seed}-quote")
-    opens = daily_first(df.select(tie, ts, price), price, ts, [tie], out="first_price")
-    days = opens.select("day", "first_price").distinct()
-    return open_high_low(
-        out.withColumn("day", F.to_date(ts)).join(days, "day", "left"), "first_price", "day", [tie], f"{seed}-day"
-    )
+    running = [
+        sum_of(volume, df.schema[volume].dataType, out="acc_volume"),
+        filled(price, order, out="filled_price"),
+        number_from(FIRST_FEED_NUMBER, out="feed_number"),
+    ]
+    quoted = bid_ask(add_running(df, running, order), "filled_price", [tie], f"{seed}-quote")
+    dated = df.select(F.to_date(ts).alias("day"), ts, tie, price)
+    opens = land(first_per(dated, price, "day", order, "first_price"), "daily-open")
+    days = quoted.withColumn("day", F.to_date(ts)).join(opens, "day", "left")
+    return open_high_low(days, "first_price", "day", [tie], f"{seed}-day")
