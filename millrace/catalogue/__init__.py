@@ -1,6 +1,6 @@
 """All registered queries."""
 
-from millrace.catalogue import entitlement, feed, files, log, streams, synthetic, ticks, windows  # noqa: F401
+from millrace.catalogue import log, windows  # noqa: F401
 from millrace.catalogue.registry import ENTRIES
 
 __all__ = ["ENTRIES"]

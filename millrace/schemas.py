@@ -36,29 +36,47 @@ POST_RAW = T.StructType([T.StructField(name, T.StringType()) for name in POST_RA
 
 COUNT_COLUMNS = ("like_count", "quote_count", "reply_count", "repost_count")
 
-POST_STAGE = T.StructType.fromDDL(
-    "content_id string, post_uri string, like_count bigint, quote_count bigint, reply_count bigint, "
-    "repost_count bigint, post_created_timestamp timestamp, text string, tags array<string>, "
-    "embedded_link_title string, embedded_link_description string, embedded_link_uri string, "
-    "author_did string, author_username string, author_displayname string, "
-    "author_account_created_timestamp timestamp, record_captured_timestamp timestamp"
+def _struct(**kinds: T.DataType) -> T.StructType:
+    return T.StructType([T.StructField(name, kind) for name, kind in kinds.items()])
+
+
+_TEXT, _WHOLE, _TIME = T.StringType(), T.LongType(), T.TimestampType()
+
+POST_STAGE = _struct(
+    content_id=_TEXT,
+    post_uri=_TEXT,
+    like_count=_WHOLE,
+    quote_count=_WHOLE,
+    reply_count=_WHOLE,
+    repost_count=_WHOLE,
+    post_created_timestamp=_TIME,
+    text=_TEXT,
+    tags=T.ArrayType(_TEXT),
+    embedded_link_title=_TEXT,
+    embedded_link_description=_TEXT,
+    embedded_link_uri=_TEXT,
+    author_did=_TEXT,
+    author_username=_TEXT,
+    author_displayname=_TEXT,
+    author_account_created_timestamp=_TIME,
+    record_captured_timestamp=_TIME,
 )
 
-FEED_PAGE = T.StructType.fromDDL(
-    "cursor string, "
-    "feed array<struct<post: struct<cid: string, uri: string, like_count: bigint, quote_count: bigint, "
-    "reply_count: bigint, repost_count: bigint, "
-    "author: struct<did: string, handle: string, display_name: string, created_at: string>, "
-    "record: struct<created_at: string, text: string, tags: array<string>, "
-    "embed: struct<external: struct<title: string, description: string, uri: string>>>>>>, "
-    "feed_owner_did string"
+_AUTHOR = _struct(did=_TEXT, handle=_TEXT, display_name=_TEXT, created_at=_TEXT)
+_LINK = _struct(title=_TEXT, description=_TEXT, uri=_TEXT)
+_RECORD = _struct(created_at=_TEXT, text=_TEXT, tags=T.ArrayType(_TEXT), embed=_struct(external=_LINK))
+_POST = _struct(
+    cid=_TEXT,
+    uri=_TEXT,
+    like_count=_WHOLE,
+    quote_count=_WHOLE,
+    reply_count=_WHOLE,
+    repost_count=_WHOLE,
+    author=_AUTHOR,
+    record=_RECORD,
 )
 
-CLIENT = T.StructType.fromDDL("did string, username string, displayname string, created_at string")
-
-WATERMARK = T.StructType.fromDDL("post_author_did string, max_created_ts timestamp")
-
-MANIFEST = T.StructType.fromDDL("file_name string, extract_date date, ordinal int, bytes bigint, batch_id bigint")
+FEED_PAGE = _struct(cursor=_TEXT, feed=T.ArrayType(_struct(post=_POST)), feed_owner_did=_TEXT)
 
 # The 58 columns of the tick table, in order.
 TICK_COLUMNS = [
@@ -88,15 +106,3 @@ def _tick_type(name: str) -> T.DataType:
 
 TICK = T.StructType([T.StructField(name, _tick_type(name)) for name in TICK_COLUMNS])
 TICK_TEXT = T.StructType([T.StructField(name, T.StringType()) for name in TICK_COLUMNS])
-
-TELEMETRY = T.StructType.fromDDL(
-    "start_timestamp timestamp, timestamp timestamp, "
-    "resource_attributes map<string,string>, record_attributes map<string,string>"
-)
-
-TEMPLATE = T.StructType.fromDDL(
-    "command_id string, command_ordinal int, command_text string, access_type string, "
-    "first_time_setup_ind boolean, created_at_timestamp timestamp, created_by_user string, "
-    "updated_at_timestamp timestamp, updated_by_user string"
-)
-TEMPLATE_FILE = T.StructType(TEMPLATE.fields[:5])

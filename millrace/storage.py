@@ -2,7 +2,6 @@
 
 Work that is read more than once, or that would otherwise drag a long lineage
 behind it, is written to the shared folder named by ``spark.checkpoint.dir``.
-A machine-local folder is used only when Spark itself runs in local mode.
 """
 
 from __future__ import annotations
@@ -16,23 +15,35 @@ CHECKPOINT_KEY = "spark.checkpoint.dir"
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The shared folder of this session, set up for ``checkpoint()`` as well."""
+    """The folder that every executor can reach, as the session names it."""
     root = spark.conf.get(CHECKPOINT_KEY, None)
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError(f"set {CHECKPOINT_KEY} to a folder every executor can reach")
-        root = tempfile.mkdtemp(prefix="millrace-")
-        spark.conf.set(CHECKPOINT_KEY, root)
+        raise RuntimeError(f"set {CHECKPOINT_KEY} to a folder every executor can reach")
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(root)
     return root.rstrip("/")
 
 
+def on_one_machine(spark: SparkSession) -> SparkSession:
+    """Name a shared folder for a session of tests, bench or smoke run that has none."""
+    if not spark.conf.get(CHECKPOINT_KEY, None):
+        spark.conf.set(CHECKPOINT_KEY, f"file://{tempfile.mkdtemp(prefix='millrace-')}")
+    return spark
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A path in the shared folder that nothing else uses."""
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+def release(spark: SparkSession, path: str) -> None:
+    """Delete a landed folder that no later read needs."""
+    if not path.startswith(shared_dir(spark) + "/"):
+        raise ValueError(f"{path} is not in the shared folder")
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def land(df: DataFrame, label: str = "landed") -> DataFrame:
     """Write ``df`` once and return a frame that reads the files back.
 
