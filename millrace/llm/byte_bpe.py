@@ -139,6 +139,18 @@ def _codec(proto: bytes, pattern: str) -> Codec:
     return Codec(proto, pattern)
 
 
+def _encode_column(codec: Codec, texts: pa.Array) -> list[np.ndarray]:
+    ids: list[np.ndarray] = []
+    for at in range(0, len(texts), TEXTS_AT_ONCE):
+        ids += codec.encode_all(texts[at : at + TEXTS_AT_ONCE].to_pylist())
+    return ids
+
+
+def _ids_column(ids: list[np.ndarray]) -> pa.ListArray:
+    ends = np.cumsum([0, *map(len, ids)])
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate([np.empty(0, np.int32), *ids])))
+
+
 class ByteBpe:
     """Column functions over one vocabulary. The model (about 1 MB, fixed by the
     vocabulary) is the only thing that is broadcast."""
@@ -152,14 +164,22 @@ class ByteBpe:
         proto, pattern = self.proto, self.pattern
 
         def encode(texts: pa.Array) -> pa.Array:
-            codec, ids = _codec(proto.value, pattern), [np.empty(0, np.int32)]
-            for at in range(0, len(texts), TEXTS_AT_ONCE):
-                ids += codec.encode_all(texts[at : at + TEXTS_AT_ONCE].to_pylist())
-            ends = np.cumsum([len(x) for x in ids])
-            return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(ids)))
+            return _ids_column(_encode_column(_codec(proto.value, pattern), texts))
 
         return F.arrow_udf(encode, "array<int>")(text)
 
+    def round_trip(self, text: Column | str) -> Column:
+        """``ids`` as from ``encode``, and ``decoded``: the bytes decoded from these ids."""
+        proto, pattern = self.proto, self.pattern
+
+        def round_trip(texts: pa.Array) -> pa.Array:
+            codec = _codec(proto.value, pattern)
+            ids = _encode_column(codec, texts)
+            decoded = pa.array([codec.decode(row.tolist()) for row in ids], pa.binary())
+            return pa.StructArray.from_arrays([_ids_column(ids), decoded], ["ids", "decoded"])
+
+        return F.arrow_udf(round_trip, "ids array<int>, decoded binary")(text)
+
     def decode(self, ids: Column | str) -> Column:
         """The bytes that the ids stand for; none for null."""
         proto, pattern = self.proto, self.pattern

@@ -25,11 +25,10 @@ def llm_query(sql: str | None = None):
 @llm_query()
 def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     bpe = ByteBpe(spark, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
-    encoded = table(spark, sf_dir, "documents").select("doc_id", bpe.encode("text").alias("ids"))
-    decoded = encoded.withColumn("decoded", bpe.decode("ids"))
-    return decoded.select(
+    trip = table(spark, sf_dir, "documents").select("doc_id", bpe.round_trip("text").alias("trip"))
+    return trip.select(
         "doc_id",
-        F.size("ids").cast("long").alias("n_tokens"),
-        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
-        F.sha2("decoded", 256).alias("decoded_sha256"),
+        F.size("trip.ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("trip.ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+        F.sha2("trip.decoded", 256).alias("decoded_sha256"),
     )
