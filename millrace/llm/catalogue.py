@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.catalogue.registry import Entry, Query, table
 from millrace.llm.byte_bpe import ByteBpe
+from millrace.llm.secret_scan import BASE_RULES, find_secrets
+from millrace.llm.url_filter import judge
+from millrace.storage import scratch_path
 
 LLM_ENTRIES: dict[str, Entry] = {}
 
@@ -22,6 +25,73 @@ def llm_query(sql: str | None = None):
     return add
 
 
+_SECRETS_SQL = r"""
+WITH kinds(place, kind, least) AS (VALUES (0, 'assign', 12), (1, 'access', 18), (2, 'hex', 16)),
+texts AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+cut AS (
+    SELECT doc_id, 0 AS place, regexp_extract_all(t, '{assign}') AS hits, regexp_extract_all(t, '{assign}', 2) AS sized,
+           string_split_regex(t, '{assign}') AS gaps FROM texts
+    UNION ALL SELECT doc_id, 1, regexp_extract_all(t, '{access}'), regexp_extract_all(t, '{access}'), string_split_regex(t, '{access}') FROM texts
+    UNION ALL SELECT doc_id, 2, regexp_extract_all(t, '{hex}'), regexp_extract_all(t, '{hex}'), string_split_regex(t, '{hex}') FROM texts),
+each AS (
+    SELECT doc_id, place, unnest(range(1, len(hits) + 1)) AS n, unnest(hits) AS hit, unnest(sized) AS sized,
+           unnest(gaps[1:len(hits)]) AS gap FROM cut),
+placed AS (
+    SELECT *, sum(length(gap) + length(hit)) OVER (PARTITION BY doc_id, place ORDER BY n) AS stop FROM each),
+kept AS (
+    SELECT doc_id, place, kind, (stop - length(hit))::BIGINT AS start, stop::BIGINT AS stop
+    FROM placed JOIN kinds USING (place) WHERE length(sized) >= least),
+joined AS (
+    SELECT doc_id, count(*) FILTER (place = 0) AS n_assign, count(*) FILTER (place = 1) AS n_access,
+           count(*) FILTER (place = 2) AS n_hex,
+           string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, place) AS spans FROM kept GROUP BY doc_id)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+       sha256(coalesce(spans, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM texts LEFT JOIN joined USING (doc_id)
+""".replace("{assign}", BASE_RULES[0].pattern.replace("'", "''")).replace("{access}", BASE_RULES[1].pattern).replace("{hex}", BASE_RULES[2].pattern)
+
+
+@llm_query(_SECRETS_SQL)
+def op2_secret_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = find_secrets(table(spark, sf_dir, "documents").select("doc_id", "text"), scratch_path(spark, "secret-ledger"))
+    spans = F.coalesce("spans", F.array())
+    text = F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    counts = [count(r.kind) for r in BASE_RULES]
+    return found.select("doc_id", *counts, F.sha2(text, 256).alias("base_sha256"), text.alias("spans"))
+
+
+URL_RULES = [
+    ("org", "/", "allow"),
+    ("example.org", "/es/", "block"),
+    ("example.org", "/en/1", "block"),
+    ("com", "/fr/", "allow"),
+    ("com", "/de/", "block"),
+]
+
+_URL_SQL = """
+WITH rules(host, path, verdict) AS (VALUES {rules}),
+urls AS (
+    SELECT page_id, translate(regexp_extract(coalesce(url, ''), '://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+           regexp_extract(coalesce(url, ''), '://[^/?#]*([^?#]*)', 1) AS path FROM pages),
+best AS (
+    SELECT u.host, u.path, arg_max(r.host || r.path, length(r.host || r.path)) AS rule, arg_max(r.verdict, length(r.host || r.path)) AS verdict
+    FROM (SELECT DISTINCT host, path FROM urls) u JOIN rules r
+      ON (u.host = r.host OR ends_with(u.host, '.' || r.host)) AND starts_with(u.path, r.path) GROUP BY ALL)
+SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM urls LEFT JOIN best USING (host, path)
+""".format(rules=", ".join(map(str, URL_RULES)))
+
+
+@llm_query(_URL_SQL)
+def op4_url_sweep(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    return judge(pages, rules).select("page_id", "host", "path", "rule", "verdict")
+
+
 @llm_query()
 def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     bpe = ByteBpe(spark, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
