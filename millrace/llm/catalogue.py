@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from millrace.catalogue.registry import Entry, Query, table
 from millrace.llm.byte_bpe import ByteBpe
 from millrace.llm.secret_scan import BASE_RULES, find_secrets
+from millrace.llm.simhash_dedup import near_duplicates
 from millrace.llm.url_filter import judge
 from millrace.storage import scratch_path
 
@@ -102,3 +103,8 @@ def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.array_join(F.col("trip.ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
         F.sha2("trip.decoded", 256).alias("decoded_sha256"),
     )
+
+
+@llm_query()
+def op7_simhash_components(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
