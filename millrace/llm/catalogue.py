@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 
 from millrace.catalogue.registry import Entry, Query, table
 from millrace.llm.byte_bpe import ByteBpe
+from millrace.llm.language_id import fit as fit_languages
+from millrace.llm.language_id import language, remainder
 from millrace.llm.secret_scan import BASE_RULES, find_secrets
 from millrace.llm.simhash_dedup import near_duplicates
 from millrace.llm.url_filter import judge
@@ -108,3 +110,12 @@ def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 @llm_query()
 def op7_simhash_components(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@llm_query()
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held_out = remainder("doc_id") == 1
+    model = fit_languages(docs.filter(~held_out))
+    predicted = docs.select("doc_id", held_out.alias("held_out"), language(spark, model, "text").alias("found"))
+    return predicted.select("doc_id", "held_out", F.col("found.lang").alias("lang_pred"), "found.score")
