@@ -7,7 +7,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.catalogue.registry import Entry, Query, table
+from millrace.llm import quality
 from millrace.llm.byte_bpe import ByteBpe
+from millrace.llm.decontaminate import contaminated
 from millrace.llm.language_id import fit as fit_languages
 from millrace.llm.language_id import language, remainder
 from millrace.llm.secret_scan import BASE_RULES, find_secrets
@@ -119,3 +121,25 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = fit_languages(docs.filter(~held_out))
     predicted = docs.select("doc_id", held_out.alias("held_out"), language(spark, model, "text").alias("found"))
     return predicted.select("doc_id", "held_out", F.col("found.lang").alias("lang_pred"), "found.score")
+
+
+@llm_query()
+def op3_quality_cotraining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
+    model = quality.fit(docs, table(spark, sf_dir, "labels"))
+    judged = docs.select("doc_id", quality.score(spark, model).alias("p"))
+    return judged.select(
+        "doc_id",
+        F.col("p.content").alias("content_score"),
+        F.col("p.metadata").alias("metadata_score"),
+        "p.score",
+        (F.col("p.score") >= quality.THRESHOLD).alias("keep"),
+    )
+
+
+@llm_query()
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per passage of a document that matches a benchmark item; clean documents have none."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    matched = contaminated(docs, table(spark, sf_dir, "benchmark"))
+    return matched.select("doc_id", F.explode("matches").alias("m")).select("doc_id", "m.*")
