@@ -277,4 +277,6 @@ def _match_column(items, text: str, least: float, radius: int):
         kind = pa.list_(pa.struct(list(zip(names, (pa.int64(), pa.int64(), pa.int64(), pa.float64())))))
         return pa.array([[dict(zip(names, m)) for m in row] for row in rows], kind)
 
-    return F.arrow_udf(match, f"array<struct<{MATCHES.replace(' long', ': bigint').replace(' double', ': double')}>>")(text)
+    kind = f"array<struct<{MATCHES.replace(' long', ': bigint').replace(' double', ': double')}>>"
+    # marked so that no plan reads the text twice to test the array before using it
+    return F.arrow_udf(match, kind).asNondeterministic()(text)
