@@ -12,6 +12,7 @@ from millrace.llm.byte_bpe import ByteBpe
 from millrace.llm.decontaminate import contaminated
 from millrace.llm.language_id import fit as fit_languages
 from millrace.llm.language_id import language, remainder
+from millrace.llm.sanitise import KINDS, TERM, find_personal_data
 from millrace.llm.secret_scan import BASE_RULES, find_secrets
 from millrace.llm.simhash_dedup import near_duplicates
 from millrace.llm.url_filter import judge
@@ -143,3 +144,24 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     matched = contaminated(docs, table(spark, sf_dir, "benchmark"))
     return matched.select("doc_id", F.explode("matches").alias("m")).select("doc_id", "m.*")
+
+
+@llm_query()
+def op10_sanitisation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = find_personal_data(table(spark, sf_dir, "documents"))
+
+    def joined(spans: Column, kind) -> Column:
+        return F.transform(spans, lambda s: F.concat_ws(":", kind(s), s["start"], s["stop"]))
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    base = joined(F.col("spans"), lambda s: s["kind"])
+    terms = joined(F.col("terms"), lambda s: F.lit(TERM))
+    return found.select(
+        "doc_id",
+        *[count(k) for k in KINDS],
+        F.sha2(F.array_join(base, ","), 256).alias("base_sha256"),
+        F.array_join(F.concat(base, terms), ",").alias("spans"),
+        F.size("terms").cast("long").alias("n_terms"),
+    )
