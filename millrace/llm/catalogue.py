@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.catalogue.registry import Entry, Query, table
-from millrace.llm import quality
+from millrace.llm import posting_lists, quality
 from millrace.llm.byte_bpe import ByteBpe
 from millrace.llm.decontaminate import contaminated
 from millrace.llm.language_id import fit as fit_languages
@@ -165,3 +165,14 @@ def op10_sanitisation(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.array_join(F.concat(base, terms), ",").alias("spans"),
         F.size("terms").cast("long").alias("n_terms"),
     )
+
+
+NEIGHBOURS = 20
+
+
+@llm_query()
+def op1_posting_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    index = posting_lists.build(vectors, NEIGHBOURS)
+    asked = vectors.filter(F.col("vec_id") % 20 == 0).withColumnRenamed("vec_id", "query_id")
+    return posting_lists.search(index, asked)
