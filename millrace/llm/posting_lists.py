@@ -4,13 +4,13 @@ The measure is the inner product. Vectors get one more component that gives all
 of them the length of the longest, queries a zero there, so that the largest
 inner product is the smallest distance. A bounded sample is halved again and
 again along the line between two means, at the median, until a cell holds
-``CELL`` vectors: balanced cells, whose means are the centroids. Centroids are
-searched by best-first search on a nearest-neighbour graph in memory.
+``CELL`` vectors; the means of these balanced cells, moved a few times to the mean of
+the vectors nearest to them, are the centroids. Centroids are
+searched best first on a nearest-neighbour graph in memory.
 
 Every vector of the table is posted to its nearest list and, if it lies near a
-boundary, to others as well: those whose centroid is at most ``1 + SPREAD`` times
-as far away and not closer to a centroid already chosen than to the vector. A query
-reads the lists whose centroids are at most ``1 + REACH`` times as far away as the
+boundary, to others as well: up to ``COPIES`` lists whose centroids are at most
+``1 + SPREAD`` times as far away as the nearest. A query reads the lists whose centroids are at most ``1 + REACH`` times as far away as the
 nearest, ``LISTS`` of them at least. Lists are compared in blocks of ``BLOCK`` vectors and
 ``QUERIES`` queries, so that a long list is spread over tasks.
 
@@ -36,14 +36,16 @@ from pyspark.sql import functions as F
 from millrace.storage import land
 
 SAMPLE = 32_768
-CELL = 64
+CELL = 256
+REFINED = 6
 NEIGHBOURS = 24
-BEAM = 48
+POST_BEAM = 32
+READ_BEAM = 512
 ENTRIES = 16
-COPIES = 4
-SPREAD = 0.15
-REACH = 0.3
-LISTS = 16
+COPIES = 2
+SPREAD = 0.2
+REACH = 0.13
+LISTS = 8
 BLOCK = 4_096
 QUERIES = 1_024
 _AT_ONCE = 1_024
@@ -62,7 +64,7 @@ def _matrix(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
 
 
 def balanced_centroids(vectors: np.ndarray, cell: int = CELL) -> np.ndarray:
-    """Means of cells of at most ``cell`` vectors, all about equally full."""
+    """Means of cells of at most ``cell`` vectors, equally full before they are refined."""
     rng, done, open_ = np.random.default_rng(7), [], [np.arange(len(vectors))]
     while open_:
         rows = open_.pop()
@@ -79,7 +81,14 @@ def balanced_centroids(vectors: np.ndarray, cell: int = CELL) -> np.ndarray:
         along = x @ (b - a)
         half = np.argsort(along, kind="stable")
         open_ += [rows[half[: len(rows) // 2]], rows[half[len(rows) // 2 :]]]
-    return np.array(done)
+    means = np.array(done)
+    for _ in range(REFINED):
+        own = np.concatenate([_distances(vectors[at : at + _AT_ONCE], means).argmin(axis=1) for at in range(0, len(vectors), _AT_ONCE)])
+        size = np.bincount(own, minlength=len(means))
+        total = np.zeros_like(means)
+        np.add.at(total, own, vectors)
+        means = np.where(size[:, None] > 0, total / np.maximum(1, size)[:, None], means)
+    return means
 
 
 @dataclass
@@ -106,14 +115,14 @@ class Centroids:
         rest = np.sqrt(np.maximum(0.0, self.longest - (vectors**2).sum(axis=1)))
         return np.c_[vectors, rest]
 
-    def nearest(self, targets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Up to BEAM centroids nearest to each target found by walking the graph, and their distances."""
-        parts = [self._walk(targets[at : at + _AT_ONCE]) for at in range(0, len(targets), _AT_ONCE)]
+    def nearest(self, targets: np.ndarray, beam: int) -> tuple[np.ndarray, np.ndarray]:
+        """Up to ``beam`` centroids nearest to each target found by walking the graph, and their distances."""
+        parts = [self._walk(targets[at : at + _AT_ONCE], beam) for at in range(0, len(targets), _AT_ONCE)]
         return np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])
 
-    def _walk(self, targets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def _walk(self, targets: np.ndarray, beam: int) -> tuple[np.ndarray, np.ndarray]:
         n, k = len(targets), len(self.points)
-        beam, row = min(BEAM, k), np.arange(n)
+        beam, row = min(beam, k), np.arange(n)
         seen = np.zeros((n, k), bool)
         seen[:, self.entries] = True
         ids = np.tile(self.entries, (n, 1))
@@ -146,21 +155,13 @@ class Centroids:
 
     def posted(self, vectors: np.ndarray) -> list[np.ndarray]:
         """The lists of each vector: the nearest, and others near a boundary."""
-        ids, apart = self.nearest(self.lifted(vectors))
-        out = []
-        for found, d in zip(ids, apart):
-            chosen = [found[0]]
-            for c, far in zip(found[1:], d[1:]):
-                if len(chosen) == COPIES or not far <= (1 + SPREAD) * d[0]:
-                    break
-                if ((self.points[chosen] - self.points[c]) ** 2).sum(axis=1).min() >= far * far:
-                    chosen.append(c)
-            out.append(np.array(chosen))
-        return out
+        ids, apart = self.nearest(self.lifted(vectors), POST_BEAM)
+        near = (apart <= (1 + SPREAD) * apart[:, :1]) & (np.arange(ids.shape[1]) < COPIES)
+        return [found[n] for found, n in zip(ids, near)]
 
     def read(self, queries: np.ndarray) -> list[np.ndarray]:
         """The lists that each query reads, by the ratio of distances."""
-        ids, apart = self.nearest(np.c_[queries, np.zeros(len(queries))])
+        ids, apart = self.nearest(np.c_[queries, np.zeros(len(queries))], READ_BEAM)
         near = (apart <= (1 + REACH) * apart[:, :1]) | (np.arange(ids.shape[1]) < LISTS)
         return [found[n & np.isfinite(d)] for found, n, d in zip(ids, near, apart)]
 
