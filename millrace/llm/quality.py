@@ -9,8 +9,8 @@ the other's training rows. Afterwards each view is calibrated on labelled rows
 that neither was fitted on, and the calibrated log-odds are added with weights
 fitted on the same rows. The sum scores every document, read whole.
 
-Labelled rows come from at most ``LABELLED_ROWS`` documents, those with the
-lowest hashes of their ids. Candidates for pseudo-labels are all documents; the
+Labelled rows come from about ``LABELLED_ROWS`` documents, those with the lowest
+hashes of their ids (all, if fewer are labelled). Candidates for pseudo-labels are all documents; the
 profiles (about ``CONTENT + 100`` bytes a document) are written once, and the rounds
 read only them.
 
@@ -181,6 +181,7 @@ def _confident(spark: SparkSession, unlabelled: DataFrame, views: list[Logistic]
         for label, order in ((1, F.desc("odd")), (0, F.asc("odd"))):
             ranked = scored.select("content", "meta", F.col(f"odds.{view}").alias("odd"), F.xxhash64("content", "meta").alias("tie"))
             top = ranked.filter(F.col("odd") >= sure if label else F.col("odd") <= -sure).orderBy(order, "tie").limit(ADDED)
+            top = land(top, "quality-confident")
             mine += [(np.frombuffer(r.content, np.uint8), np.array(r.meta, np.float32), label) for r in top.collect()]  # at most ADDED
         picked.append(mine)
     return picked
@@ -189,10 +190,14 @@ def _confident(spark: SparkSession, unlabelled: DataFrame, views: list[Logistic]
 def fit(docs: DataFrame, labels: DataFrame, labelled_rows: int = LABELLED_ROWS, rounds: int = ROUNDS) -> Model:
     """Co-train on ``docs`` (doc_id, text, lang, source) and ``labels`` (doc_id, quality)."""
     spark = docs.sparkSession
-    profiled = docs.select("doc_id", _profile_column().alias("p")).select("doc_id", "p.content", "p.meta")
-    profiled = land(profiled, "quality-profiles")
     given = labels.filter(F.col("quality").isNotNull() & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.min("quality").alias("quality"))
-    rows = profiled.join(given, "doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(labelled_rows).collect()
+    profiled = docs.select("doc_id", _profile_column().alias("p")).select("doc_id", "p.content", "p.meta")
+    # the one shuffle of profiles; the rounds only filter what is written here
+    profiled = land(profiled.join(given.hint("merge"), "doc_id", "left"), "quality-profiles")
+    known = profiled.filter(F.col("quality").isNotNull())
+    share = int((1 << 30) * min(1.0, labelled_rows / max(1, known.count())))
+    rows = known.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < share).collect()  # about labelled_rows
+    rows.sort(key=lambda r: (zlib.crc32(str(r.doc_id).encode()), r.doc_id))
     if len({int(r.quality > 0) for r in rows}) < 2:
         return Model()
     x = [np.array([np.frombuffer(r.content, np.uint8) for r in rows]), np.array([r.meta for r in rows], np.float32)]
@@ -200,7 +205,7 @@ def fit(docs: DataFrame, labels: DataFrame, labelled_rows: int = LABELLED_ROWS,
     held = np.arange(len(rows)) % HELD == 0
     if len(set(y[~held])) < 2 or len(set(y[held])) < 2:
         held[:] = False
-    unlabelled = profiled.join(given.select("doc_id"), "doc_id", "left_anti")
+    unlabelled = profiled.filter(F.col("quality").isNull())
     extra: list[list] = [[], []]
     for turn in range(rounds + 1):
         views = []
