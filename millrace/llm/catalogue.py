@@ -10,6 +10,7 @@ from millrace.catalogue.registry import Entry, Query, table
 from millrace.llm import posting_lists, quality
 from millrace.llm.byte_bpe import ByteBpe
 from millrace.llm.decontaminate import contaminated
+from millrace.llm.exact_substrings import remove_repeats
 from millrace.llm.language_id import fit as fit_languages
 from millrace.llm.language_id import language, remainder
 from millrace.llm.sanitise import KINDS, TERM, find_personal_data
@@ -176,3 +177,9 @@ def op1_posting_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
     index = posting_lists.build(vectors, NEIGHBOURS)
     asked = vectors.filter(F.col("vec_id") % 20 == 0).withColumnRenamed("vec_id", "query_id")
     return posting_lists.search(index, asked)
+
+
+@llm_query()
+def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return docs.select("doc_id", "stripped.n_bytes", "stripped.n_removed", "stripped.n_spans", F.sha2("stripped.kept", 256).alias("kept_sha256"))
