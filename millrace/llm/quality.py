@@ -46,6 +46,9 @@ CONFIDENT = 0.95
 THRESHOLD = 0.3
 HELD = 4
 PENALTY = 1e-3
+SHAPE = 12
+META = SHAPE + LANGUAGES + SOURCES
+ROWS_AT_ONCE = 1_024
 PROFILE = "content binary, meta array<float>"
 
 
@@ -89,10 +92,13 @@ def metadata(text: str, lang: str | None, source: str | None) -> np.ndarray:
 
 
 def _profiles(texts: pa.Array, langs: pa.Array, sources: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    rows = [(t.as_py() or "", a.as_py(), b.as_py()) for t, a, b in zip(texts, langs, sources)]
-    content = np.array([content_profile(t) for t, _, _ in rows]).reshape(len(rows), CONTENT)
-    meta = np.array([metadata(*r) for r in rows]).reshape(len(rows), -1)
-    return content.astype(np.uint8), meta.astype(np.float32)
+    content = np.empty((len(texts), CONTENT), np.uint8)
+    meta = np.empty((len(texts), META), np.float32)
+    for i, (t, lang, source) in enumerate(zip(texts, langs, sources)):
+        text = t.as_py() or ""
+        content[i] = content_profile(text)
+        meta[i] = metadata(text, lang.as_py(), source.as_py())
+    return content, meta
 
 
 def _as_text(name: str) -> Column:
@@ -136,7 +142,8 @@ class Logistic:
         return self
 
     def odds(self, x: np.ndarray) -> np.ndarray:
-        return self._spread(x) @ self.weights
+        parts = [self._spread(x[at : at + ROWS_AT_ONCE].astype(float)) @ self.weights for at in range(0, len(x), ROWS_AT_ONCE)]
+        return np.concatenate([np.empty(0), *parts])
 
 
 @dataclass
@@ -152,7 +159,7 @@ class Model:
         """Columns: probability under the content view, the metadata view, both."""
         if not self.views:
             return np.ones((len(content), 3))
-        odds = [v.odds(x.astype(float)) for v, x in zip(self.views, (content, meta))]
+        odds = [v.odds(x) for v, x in zip(self.views, (content, meta))]
         calibrated = [c[0] * o + c[1] for c, o in zip(self.calibrations, odds)]
         both = self.mix[0] * calibrated[0] + self.mix[1] * calibrated[1] + self.mix[2]
         return 1 / (1 + np.exp(-np.clip(np.array([*calibrated, both]).T, -30, 30)))
@@ -170,7 +177,7 @@ def _confident(spark: SparkSession, unlabelled: DataFrame, views: list[Logistic]
 
     def odds(content: pa.Array, meta: pa.Array) -> pa.Array:
         x = _unpack({"content": content, "meta": meta})
-        found = [v.odds(part.astype(float)) for v, part in zip(shipped.value, x)]
+        found = [v.odds(part) for v, part in zip(shipped.value, x)]
         return pa.StructArray.from_arrays([pa.array(f, pa.float64()) for f in found], ["v0", "v1"])
 
     sure = float(np.log(CONFIDENT / (1 - CONFIDENT)))
@@ -218,7 +225,7 @@ def fit(docs: DataFrame, labels: DataFrame, labelled_rows: int = LABELLED_ROWS,
     on = held if held.any() else np.ones(len(rows), bool)
     calibrations, calibrated = [], []
     for view in range(2):
-        odds = views[view].odds(x[view][on].astype(float))
+        odds = views[view].odds(x[view][on])
         line = _line(odds[:, None], y[on])
         calibrations.append(line)
         calibrated.append(line[0] * odds + line[1])
