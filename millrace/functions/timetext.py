@@ -58,6 +58,17 @@ def shift_days(value: Column | str, days: Column | str | int) -> Column:
     return F.timestamp_add("DAY", n, _col(value))
 
 
+def shift_seconds(value: Column | str, seconds: Column | str | int) -> Column:
+    """Add seconds to a timestamp."""
+    n = F.lit(seconds) if isinstance(seconds, int) else _col(seconds)
+    return F.timestamp_add("SECOND", n, _col(value))
+
+
+def shift_hours(value: Column | str, hours: int) -> Column:
+    """Add a fixed number of hours, as between two zones that never move their clocks."""
+    return F.timestamp_add("HOUR", F.lit(hours), _col(value))
+
+
 def time_key(ts: Column | str, ordinal: Column | str) -> Column:
     """``yyyyMMddHHmmssffffff`` followed by an ordinal."""
     return F.concat(F.date_format(_col(ts), SEQ_FORMAT), _col(ordinal).cast("string"))

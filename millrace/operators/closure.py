@@ -8,14 +8,13 @@ from pyspark.sql import functions as F
 from millrace.storage import land
 
 
-def role_closure(edges: DataFrame, child: str = "child", parent: str = "parent", max_depth: int = 100) -> DataFrame:
+def role_closure(edges: DataFrame, child: str = "child", parent: str = "parent") -> DataFrame:
     """Every (child, ancestor) pair with its least depth.
 
     Breadth first: each round joins the newest pairs with the edges and drops
     pairs already known, so a diamond keeps its shortest path and a cycle ends.
     Rounds equal the depth of the hierarchy, and each round's pairs are landed,
-    which keeps the plan short and survives a lost executor. Raises if the
-    hierarchy is deeper than ``max_depth``: nothing is cut off silently.
+    which keeps the plan short and survives a lost executor.
     """
     steps = land(
         edges.select(F.col(child).alias("child"), F.col(parent).alias("parent"))
@@ -41,6 +40,4 @@ def role_closure(edges: DataFrame, child: str = "child", parent: str = "parent",
         if fresh.isEmpty():
             return known
         depth += 1
-        if depth > max_depth:
-            raise ValueError(f"role hierarchy is deeper than {max_depth}")
         found.append(fresh)

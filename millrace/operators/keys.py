@@ -15,8 +15,6 @@ from pyspark.sql import functions as F
 
 from millrace.storage import land
 
-EPOCH_FLOOR = "1900-01-01 00:00:00"
-
 
 def dedup_first(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str]) -> DataFrame:
     """Keep the first row of each key in ``order``; repeatable if the order is total.
@@ -40,16 +38,20 @@ def after_watermark(
     key: str,
     ts: str,
     mark: str = "max_created_ts",
-    default: str = EPOCH_FLOOR,
 ) -> DataFrame:
-    """Rows strictly newer than their key's watermark; no watermark means ``default``.
+    """Rows strictly newer than their key's watermark, and every row of a key without one.
+
+    A row without a time can't be compared once its key has a watermark: see ``untimed``.
 
     ``watermark`` should be a stored table (or ``land``-ed), so its size is known.
     """
-    kind = posts.schema[ts].dataType
-    bound = F.coalesce(F.col("__mark"), F.lit(default).cast(kind))
     marks = watermark.select(F.col(key), F.col(mark).alias("__mark"))
-    return posts.join(marks, key, "left").filter(F.col(ts) > bound).drop("__mark")
+    return posts.join(marks, key, "left").filter(F.col("__mark").isNull() | (F.col(ts) > F.col("__mark"))).drop("__mark")
+
+
+def untimed(posts: DataFrame, ts: str) -> DataFrame:
+    """The rows that a watermark can't judge, to be stored aside and counted."""
+    return posts.filter(F.col(ts).isNull())
 
 
 def latest_attribute(

@@ -29,10 +29,11 @@ def marker_sessions(
 ) -> DataFrame:
     """Number each row by the markers seen up to its ``order`` value.
 
-    Rows with equal ``order`` share a number, as a RANGE frame gives them.
-    ``tie`` columns only help to cut a hot ``order`` value into slots.
+    Rows with equal ``order`` share a number, as a RANGE frame gives them. A
+    null ``order`` is refused: such rows have no place. ``tie`` columns only help to cut a hot ``order`` value into slots.
     """
-    work = df.withColumn("__mark", F.coalesce(marker, F.lit(False)))
+    known = F.when(F.col(order).isNull(), F.raise_error(F.lit(f"{order} is null")).cast(df.schema[order].dataType))
+    work = df.withColumns({"__mark": F.coalesce(marker, F.lit(False)), order: known.otherwise(F.col(order))})
     plan = plan_slots(work, [order, *tie], rows_per_slot=rows_per_slot)
     slotted = work.withColumn(SLOT, plan.slot())
     mark = F.col("__mark")
@@ -100,6 +101,8 @@ class Running:
 
 def sum_of(col: str, kind: T.DataType, start: Column | int | Decimal = 0, out: str = "running_sum") -> Running:
     """``start`` plus the sum of ``col`` (of type ``kind``) so far; null counts as 0."""
+    if isinstance(kind, T.FractionalType) and not isinstance(kind, T.DecimalType):
+        raise TypeError(f"{col}: cast to a decimal or integer first; a sum of doubles depends on the grouping")
     value, carried = f"__v_{out}", f"__c_{out}"
     zero = F.lit(0).cast(kind)
     begin = start if isinstance(start, Column) else F.lit(start)

@@ -4,39 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions.text import fill_placeholders
 from millrace.operators.keys import duplicates
 
-# Privileges on the objects of a schema, per access type. The
-# kinds are in singular; each privilege is granted on ALL and on FUTURE objects.
-READ_PRIVILEGES = {
-    "TABLE": ("SELECT",),
-    "VIEW": ("SELECT",),
-    "MATERIALIZED VIEW": ("SELECT",),
-    "SEQUENCE": ("USAGE",),
-    "STAGE": ("USAGE", "READ"),
-    "FILE FORMAT": ("USAGE",),
-    "STREAM": ("SELECT",),
-    "PROCEDURE": ("USAGE",),
-    "FUNCTION": ("USAGE",),
-}
-WRITE_PRIVILEGES = {
-    "TABLE": ("INSERT", "UPDATE", "DELETE", "REFERENCES"),
-    "STAGE": ("WRITE",),
-    "TASK": ("MONITOR", "OPERATE"),
-}
-OWNED_KINDS = (*READ_PRIVILEGES, "TASK")
-# What a role may create in a schema. TABLE is stated twice, as the
-# template counts 47 and 70 include it twice; ``expand_templates`` can fold it.
-WRITE_CREATES = ("TABLE", "VIEW", "SEQUENCE", "STAGE", "FILE FORMAT", "FUNCTION", "TABLE")
-FULL_CREATES = (
-    "TABLE", "VIEW", "SEQUENCE", "STAGE", "FILE FORMAT", "STREAM", "PROCEDURE", "FUNCTION", "TASK", "TABLE",
-)
-ACCESS_TYPES = ("READ", "READ-WRITE", "FULL")
-
 # Suffix of an object name per kind; a permanent table has none.
 OBJECT_SUFFIXES = {
     "TRANSIENT TABLE": "TRN",
@@ -59,49 +32,6 @@ NAME_RULES = {
 }
 READ_PRIVILEGE_NAMES = ("SELECT", "USAGE", "READ", "MONITOR")
 
-PLACEHOLDERS = ("access-role-name", "environment-sysadmin-role-name", "database-name", "schema-name")
-
-
-def _object_grants(access_type: str) -> list[tuple[str, str]]:
-    """(object kind, privilege) pairs of an access type."""
-    pairs = [(kind, "OWNERSHIP") for kind in OWNED_KINDS] if access_type == "FULL" else []
-    for privileges in (READ_PRIVILEGES, WRITE_PRIVILEGES if access_type != "READ" else {}):
-        pairs += [(kind, p) for kind, names in privileges.items() for p in names]
-    return pairs
-
-
-def template_matrix(spark: SparkSession) -> DataFrame:
-    """Privilege templates of the three access types (25, 47 and 70 rows).
-
-    Columns: command_ordinal, command_text, access_type, first_time_setup_ind,
-    privilege, scope, object_kind. Built from the matrix above.
-    """
-    role, schema = "<access-role-name>", "<schema-name>"
-    rows = []
-    for access in ACCESS_TYPES:
-        setup = [
-            ("USE ROLE USERADMIN;", "USE ROLE", None, "ROLE"),
-            (f"CREATE ROLE IF NOT EXISTS {role};", "CREATE ROLE", None, "ROLE"),
-            (f"GRANT ROLE {role} TO ROLE <environment-sysadmin-role-name>;", "ROLE", "ONE", "ROLE"),
-            ("USE ROLE SECURITYADMIN;", "USE ROLE", None, "ROLE"),
-            (f"GRANT USAGE ON DATABASE <database-name> TO ROLE {role};", "USAGE", "ONE", "DATABASE"),
-        ]
-        setup = setup[1:] if access == "READ" else setup
-        lines = [(*line, True) for line in setup]
-        creates = {"READ": (), "READ-WRITE": WRITE_CREATES, "FULL": FULL_CREATES}[access]
-        for privilege in ("USAGE", *[f"CREATE {kind}" for kind in creates]):
-            lines.append((f"GRANT {privilege} ON SCHEMA {schema} TO ROLE {role};", privilege, "ONE", "SCHEMA", False))
-        for kind, privilege in _object_grants(access):
-            for scope in ("ALL", "FUTURE"):
-                text = f"GRANT {privilege} ON {scope} {kind}S IN SCHEMA {schema} TO ROLE {role};"
-                lines.append((text, privilege, scope, kind, False))
-        rows += [(n, text, access, once, p, scope, kind) for n, (text, p, scope, kind, once) in enumerate(lines, 1)]
-    return spark.createDataFrame(
-        rows,
-        "command_ordinal int, command_text string, access_type string, first_time_setup_ind boolean, "
-        "privilege string, scope string, object_kind string",
-    )
-
 
 def load_templates(file_rows: DataFrame, user: Column | None = None, now: Column | None = None) -> DataFrame:
     """Five-column template rows to the nine-column table; ids hash the text."""
@@ -131,7 +61,7 @@ def expand_templates(
 
     ``values`` maps a placeholder to the target column that fills it. A
     placeholder left over makes the row fail, so no half-filled command gets
-    out. The template side has a fixed number of rows and is broadcast.
+    out.
     """
     values = values or {"schema-name": "schema_name", "access-role-name": "role_name"}
     chosen = templates if setup else templates.filter(~F.col("first_time_setup_ind"))
@@ -139,7 +69,7 @@ def expand_templates(
         chosen = chosen.groupBy(*[c for c in chosen.columns if c != "command_ordinal"]).agg(
             F.min("command_ordinal").alias("command_ordinal")
         )
-    both = targets.join(F.broadcast(chosen), "access_type")
+    both = targets.join(chosen, "access_type")
     text = fill_placeholders("command_text", dict(values))
     left = F.regexp_extract(text, r"<[a-z-]+>", 0)
     checked = F.when(left == "", text).otherwise(
@@ -166,42 +96,55 @@ def split_statements(scripts: DataFrame, text: str, script_id: str) -> DataFrame
     )
 
 
-# RE2 and Java read these alike; the object is matched lazily, because a space
-# before TO may be missing
+# The object is matched lazily, because a space before TO may be missing.
 GRANT_ROLE = r'(?i)^\s*GRANT\s+ROLE\s+"?([^\s"]+?)"?\s*TO\s+(ROLE|USER)\s+"?([^\s;"]+)"?'
-GRANT_ON = (
-    r"(?i)^\s*GRANT\s+([A-Z][A-Z ]*?)\s+ON\s+(?:(ALL|FUTURE)\s+([A-Z][A-Z ]*?)S\s+IN\s+SCHEMA"
-    r'|(DATABASE|SCHEMA|WAREHOUSE|PROCEDURE|VIEW|TABLE))\s+"?(\S+?)"?\s*TO\s+ROLE\s+"?([^\s;"]+)"?'
+GRANT_BULK = (
+    r'(?i)^\s*GRANT\s+([A-Z][A-Z ,]*?)\s+ON\s+(ALL|FUTURE)\s+([A-Z][A-Z ]*?)S\s+IN\s+(SCHEMA|DATABASE)'
+    r'\s+"?(\S+?)"?\s*TO\s+ROLE\s+"?([^\s;"]+)"?'
 )
+GRANT_ACCOUNT = r'(?i)^\s*GRANT\s+([A-Z][A-Z ,]*?)\s+ON\s+ACCOUNT\s+TO\s+ROLE\s+"?([^\s;"]+)"?'
+GRANT_ONE = r'(?i)^\s*GRANT\s+([A-Z][A-Z ,]*?)\s+ON\s+([A-Z][A-Z ]*?)\s+"?(\S+?)"?\s*TO\s+ROLE\s+"?([^\s;"]+)"?'
 
 
 def parse_grants(statements: DataFrame, text: str = "stmt_text") -> DataFrame:
-    """Grant statements as columns, in upper case; other statements drop out.
+    """Grant statements as columns, in upper case, one row per privilege of a list.
 
     privilege, scope (ALL, FUTURE or ONE), object_kind, object_name,
-    grantee_kind, grantee.
+    container (SCHEMA or DATABASE of a bulk grant), grantee_kind, grantee, and
+    status: ``parsed``, or ``unparsed`` with nulls for a GRANT of another form.
+    Statements that are no GRANT drop out.
     """
     raw = F.col(text)
 
-    def on(i: int) -> Column:
-        return F.upper(F.regexp_extract(raw, GRANT_ON, i))
+    def parts(pattern: str, n: int) -> Column:
+        return F.array(*[F.upper(F.regexp_extract(raw, pattern, i)) for i in range(1, n + 1)])
 
-    def role(i: int) -> Column:
-        return F.upper(F.regexp_extract(raw, GRANT_ROLE, i))
+    forms = (
+        F.when(raw.rlike(GRANT_ROLE), F.struct(F.lit("role").alias("form"), parts(GRANT_ROLE, 3).alias("p")))
+        .when(raw.rlike(GRANT_BULK), F.struct(F.lit("bulk").alias("form"), parts(GRANT_BULK, 6).alias("p")))
+        .when(raw.rlike(GRANT_ACCOUNT), F.struct(F.lit("account").alias("form"), parts(GRANT_ACCOUNT, 2).alias("p")))
+        .when(raw.rlike(GRANT_ONE), F.struct(F.lit("one").alias("form"), parts(GRANT_ONE, 4).alias("p")))
+    )
+    form, p = F.col("__f.form"), F.col("__f.p")
+
+    def pick(role: Column, bulk: Column, account: Column, one: Column) -> Column:
+        return F.when(form == "role", role).when(form == "bulk", bulk).when(form == "account", account).when(form == "one", one)
 
-    is_role = raw.rlike(GRANT_ROLE)
-    scope = F.when(on(2) == "", F.lit("ONE")).otherwise(on(2))
-    kind = F.when(on(2) == "", on(4)).otherwise(on(3))
-    return statements.filter(is_role | raw.rlike(GRANT_ON)).withColumns(
+    lone, none = F.lit("ONE"), F.lit(None).cast("string")
+    matched = statements.filter(raw.rlike(r"(?i)^\s*GRANT\b")).withColumn("__f", forms)
+    listed = matched.withColumn("__one", F.explode(F.coalesce(F.split(pick(F.lit("ROLE"), p[0], p[0], p[0]), r"\s*,\s*"), F.array(none))))
+    return listed.withColumns(
         {
-            "privilege": F.when(is_role, F.lit("ROLE")).otherwise(on(1)),
-            "scope": F.when(is_role, F.lit("ONE")).otherwise(scope),
-            "object_kind": F.when(is_role, F.lit("ROLE")).otherwise(kind),
-            "object_name": F.when(is_role, role(1)).otherwise(on(5)),
-            "grantee_kind": F.when(is_role, role(2)).otherwise(F.lit("ROLE")),
-            "grantee": F.when(is_role, role(3)).otherwise(on(6)),
+            "privilege": F.col("__one"),
+            "scope": pick(lone, p[1], lone, lone),
+            "object_kind": pick(F.lit("ROLE"), p[2], F.lit("ACCOUNT"), p[1]),
+            "object_name": pick(p[0], p[4], none, p[2]),
+            "container": F.when(form == "bulk", p[3]),
+            "grantee_kind": pick(p[1], F.lit("ROLE"), F.lit("ROLE"), F.lit("ROLE")),
+            "grantee": pick(p[2], p[5], p[1], p[3]),
+            "status": F.when(form.isNull(), "unparsed").otherwise("parsed"),
         }
-    )
+    ).drop("__f", "__one")
 
 
 def role_edges(grants: DataFrame) -> DataFrame:
@@ -213,7 +156,7 @@ def role_edges(grants: DataFrame) -> DataFrame:
 def effective_privileges(grants: DataFrame, closure: DataFrame) -> DataFrame:
     """(role, privilege, object) pairs a role holds itself or through the roles
     granted to it."""
-    direct = grants.filter(F.col("object_kind") != "ROLE").select(
+    direct = grants.filter((F.col("object_kind") != "ROLE") & (F.col("status") == "parsed")).select(
         F.col("grantee").alias("role_name"), "privilege", "scope", "object_kind", "object_name"
     ).distinct()
     ups = closure.select(F.col("child").alias("role_name"), F.col("ancestor").alias("__up"))

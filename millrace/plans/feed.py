@@ -52,6 +52,19 @@ def flatten_feed(
     return item.select(*[c.alias(name) for name, c in fields.items()], "feed_owner_did")
 
 
+COMPARED = (
+    *COUNT_COLUMNS,
+    "text",
+    "tags",
+    "embedded_link_title",
+    "embedded_link_description",
+    "embedded_link_uri",
+    "post_author_username",
+    "post_author_displayname",
+    "post_author_account_created_timestamp",
+)
+
+
 def newest_first() -> list[Column]:
     """Order in which copies of a post are compared; total but for equal rows."""
     return [
@@ -59,7 +72,7 @@ def newest_first() -> list[Column]:
         F.col("record_captured_timestamp").desc_nulls_last(),
         F.col("feed_owner_did").asc_nulls_last(),
         F.col("post_uri").asc_nulls_last(),
-        F.hash("text", "like_count", "quote_count", "reply_count", "repost_count"),
+        *[F.col(c).asc_nulls_last() for c in COMPARED],
     ]
 
 
@@ -70,11 +83,11 @@ def watermark_by_author(posts: DataFrame) -> DataFrame:
 def new_posts(posts: DataFrame, watermark: DataFrame) -> DataFrame:
     """Posts newer than their author's watermark, each content id once per author.
 
-    Copies are dropped first: the newest copy passes the watermark if any copy
-    does, and the join that follows can then be split where one author is hot.
+    The watermark comes first, as it drops most rows before they are shuffled; the
+    newest copy passes it if any copy does.
     """
-    once = dedup_first(posts, ["post_author_did", "content_id"], newest_first())
-    return after_watermark(once, watermark, "post_author_did", "post_created_timestamp")
+    fresh = after_watermark(posts, watermark, "post_author_did", "post_created_timestamp")
+    return dedup_first(fresh, ["post_author_did", "content_id"], newest_first())
 
 
 def to_raw(posts: DataFrame, container: str, path: str, name: str | Column) -> DataFrame:
@@ -99,10 +112,14 @@ def to_raw(posts: DataFrame, container: str, path: str, name: str | Column) -> D
     return stamped.select(*out)
 
 
+# what people wrote: "null" and "nan" are words there
+OWN_WORDS = ("text", "tags", "post_author_username", "post_author_displayname", "embedded_link_title", "embedded_link_description")
+
+
 def to_stage(raw: DataFrame) -> DataFrame:
     """Typed posts: null spellings folded, counts, instants and tags parsed, and
     the author columns renamed."""
-    clean = null_tokens(raw)
+    clean = null_tokens(raw, [f.name for f in raw.schema if f.name not in OWN_WORDS])
     renamed = clean.withColumnsRenamed(
         {c: c.removeprefix("post_") for c in clean.columns if c.startswith("post_author_")}
     )

@@ -57,7 +57,8 @@ def load_csv_by_name(
 
     A column the files lack is null; a column the schema lacks is dropped. The
     given paths are grouped by their header, one scan per group. A path whose
-    own files disagree about the header fails instead of misplacing columns.
+    own files disagree about the header fails instead of misplacing columns, and
+    so does a row with more or fewer fields than the header.
     Text is cast to the schema's types after the null spellings are folded.
     """
     wanted = [paths] if isinstance(paths, str) else list(paths)
@@ -69,7 +70,7 @@ def load_csv_by_name(
     frames = []
     for header, members in groups.items():
         text = T.StructType([T.StructField(name, T.StringType()) for name in header])
-        raw = spark.read.options(**fmt.options()).option("enforceSchema", "false").schema(text).csv(members)
+        raw = spark.read.options(**fmt.options()).option("enforceSchema", "false").option("mode", "FAILFAST").schema(text).csv(members)
         source = {name.lower(): name for name in header}
         frames.append(
             raw.select(
@@ -157,9 +158,9 @@ def chunk_plan(
 
 
 def write_chunked(df: DataFrame, path: str, order: Sequence[str], limit_bytes: int = CHUNK_BYTES) -> None:
-    """One quoted CSV file per chunk, in a ``file_no=`` folder each."""
+    """One quoted CSV file per chunk, in a ``file_no=`` folder each, rows in ``order``."""
     planned = chunk_plan(df, order, limit_bytes)
-    write_csv_quoted(planned.repartition("file_no"), path, partition_by=["file_no"])
+    write_csv_quoted(planned.repartition("file_no").sortWithinPartitions("file_no", *order), path, partition_by=["file_no"])
 
 
 def write_partitioned_csv(df: DataFrame, path: str, parts: int) -> None:

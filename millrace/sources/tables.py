@@ -46,8 +46,3 @@ def insert_by_name(df: DataFrame, table: str, overwrite: bool = False) -> None:
         raise ValueError(f"columns of the frame and of {table} differ: {sorted(odd)}")
     ordered = df.select(*[f"`{have[c.lower()]}`" for c in target])
     ordered.write.option("partitionOverwriteMode", "static").insertInto(table, overwrite=overwrite)
-
-
-def union_files(spark: SparkSession, paths: list[str], schema: T.StructType) -> DataFrame:
-    """Read many headed CSV files with one layout as one frame; empty files add nothing."""
-    return spark.read.schema(schema).option("header", True).option("multiLine", True).option("escape", '"').csv(paths)

@@ -3,11 +3,12 @@
 Spark's own watermark is one bound for the whole stream. The feed's rule is one
 bound per author, so each micro-batch is compared with a stored watermark table
 and adds its own rows to it. Both writes go to a folder named after the batch
-id and replace it, so a batch that is run again leaves the same files.
+and the run, and replace it, so a batch that is run again leaves the same files.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Sequence
 
 from pyspark.errors import AnalysisException
@@ -37,25 +38,40 @@ def read_landing(
     return reader.load(directory)
 
 
-def batches(spark: SparkSession, path: str, schema: T.StructType, before: int | None = None) -> DataFrame:
-    """Rows written by earlier batches; an empty frame if there are none."""
+def batches(spark: SparkSession, path: str, schema: T.StructType, of: Column | None = None) -> DataFrame:
+    """Rows written by the batches that ``of`` picks by run_id and batch_id; an empty frame if there are none."""
     try:
         stored = spark.read.parquet(path)
     except AnalysisException as err:
         if err.getCondition() != "PATH_NOT_FOUND":
             raise
         return spark.createDataFrame([], schema)
-    if before is not None:
-        stored = stored.filter(F.col("batch_id") < before)
+    if of is not None:
+        stored = stored.filter(of)
     return stored.select(*schema.names)
 
 
-def _write_batch(df: DataFrame, path: str, batch_id: int) -> None:
-    df.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+def _run_of(spark: SparkSession, checkpoint: str) -> str:
+    """The id kept with a checkpoint; a new checkpoint gets a new one. Batch
+    numbers count within a run, so a run never writes over another."""
+    path = f"{checkpoint}/run-id"
+    try:
+        return spark.read.text(path).first()[0]
+    except AnalysisException as err:
+        if err.getCondition() != "PATH_NOT_FOUND":
+            raise
+    run = uuid.uuid4().hex
+    spark.createDataFrame([(run,)], "value string").coalesce(1).write.text(path)
+    return run
+
+
+def _write_batch(df: DataFrame, path: str, run: str, batch_id: int) -> None:
+    df.write.mode("overwrite").parquet(f"{path}/run_id={run}/batch_id={batch_id}")
 
 
 def ingest_batch(
     batch: DataFrame,
+    run: str,
     batch_id: int,
     target: str,
     marks: str,
@@ -64,15 +80,20 @@ def ingest_batch(
     ts: str,
     order: Sequence[Column],
 ) -> None:
-    """One micro-batch: first copy per (key, content), newer than the key's mark."""
+    """One micro-batch: first copy per (key, content), newer than the key's mark.
+
+    Marks of all runs count, but not those of this batch itself, which is run
+    again after a crash. The rows are written before their marks: a crash between
+    the two leaves rows that the repeated batch replaces.
+    """
     spark = batch.sparkSession
     mark_schema = T.StructType([batch.schema[key], T.StructField("max_created_ts", batch.schema[ts].dataType)])
-    known = batches(spark, marks, mark_schema, before=batch_id)
+    known = batches(spark, marks, mark_schema, ~((F.col("run_id") == run) & (F.col("batch_id") >= batch_id)))
     current = land(known.groupBy(key).agg(F.max("max_created_ts").alias("max_created_ts")), "marks")
-    fresh = after_watermark(dedup_first(batch, [key, content], order), current, key, ts)
-    _write_batch(fresh, target, batch_id)
-    written = spark.read.schema(batch.schema).parquet(f"{target}/batch_id={batch_id}")
-    _write_batch(watermark_by(written, key, ts), marks, batch_id)
+    fresh = dedup_first(after_watermark(batch, current, key, ts), [key, content], order)
+    _write_batch(fresh, target, run, batch_id)
+    written = spark.read.schema(batch.schema).parquet(f"{target}/run_id={run}/batch_id={batch_id}")
+    _write_batch(watermark_by(written, key, ts), marks, run, batch_id)
 
 
 def stream_ingest(
@@ -87,12 +108,13 @@ def stream_ingest(
 ) -> StreamingQuery:
     """Ingest what is new and stop. A row at or below its key's mark is dropped
     for good, also when it arrives late."""
+    run = _run_of(stream.sparkSession, checkpoint)
 
-    def run(batch: DataFrame, batch_id: int) -> None:
-        ingest_batch(batch, batch_id, target, marks, key, content, ts, order)
+    def one(batch: DataFrame, batch_id: int) -> None:
+        ingest_batch(batch, run, batch_id, target, marks, key, content, ts, order)
 
     return (
-        stream.writeStream.foreachBatch(run)
+        stream.writeStream.foreachBatch(one)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
