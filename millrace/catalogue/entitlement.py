@@ -69,22 +69,28 @@ def role_closure(spark: SparkSession, sf_dir: str) -> DataFrame:
     return closure(edges(spark, sf_dir))
 
 
-@query(
-    CLOSURE_SQL + f""", direct AS (SELECT DISTINCT grantee AS role_name, privilege, scope, object_kind, object_name FROM ({PARSED_SQL}) WHERE status = 'parsed')
-  SELECT * FROM direct UNION SELECT ancestor, privilege, scope, object_kind, object_name FROM direct JOIN up ON child = role_name"""
+EFFECTIVE_SQL = (
+    CLOSURE_SQL
+    + f""", direct AS (SELECT DISTINCT grantee AS role_name, privilege, scope, object_kind, object_name FROM ({PARSED_SQL}) WHERE status = 'parsed'),
+  effective AS (SELECT * FROM direct UNION SELECT ancestor, privilege, scope, object_kind, object_name FROM direct JOIN up ON child = role_name)"""
 )
+
+
+@query(EFFECTIVE_SQL + " SELECT * FROM effective")
 def effective_privileges(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ent.effective_privileges(parsed(spark, sf_dir), closure(edges(spark, sf_dir)))
 
 
 @query(
-    f"""SELECT DISTINCT c_name AS user_name, privilege, scope, object_kind, object_name FROM customer
-        JOIN ({PARSED_SQL}) p ON p.grantee = 'N' || c_nationkey || '_FR'"""
+    EFFECTIVE_SQL
+    + """ SELECT DISTINCT c_name AS user_name, privilege, scope, object_kind, object_name FROM customer
+        JOIN effective ON role_name = (CASE WHEN c_nationkey % 2 = 0 THEN 'N' || c_nationkey ELSE 'R' || (c_nationkey % 5) END) || '_FR'"""
 )
 def user_privileges(spark: SparkSession, sf_dir: str) -> DataFrame:
-    users = table(spark, sf_dir, "customer").select(F.col("c_name").alias("user_name"), F.format_string("N%d_FR", "c_nationkey").alias("role_name"))
-    none = closure(edges(spark, sf_dir)).limit(0)
-    return ent.user_privileges(ent.effective_privileges(parsed(spark, sf_dir), none), users)
+    k = F.col("c_nationkey")
+    role = F.when(k % 2 == 0, F.format_string("N%d_FR", k)).otherwise(F.format_string("R%d_FR", k % 5))
+    users = table(spark, sf_dir, "customer").select(F.col("c_name").alias("user_name"), role.alias("role_name"))
+    return ent.user_privileges(ent.effective_privileges(parsed(spark, sf_dir), closure(edges(spark, sf_dir))), users)
 
 
 @query(
@@ -107,7 +113,7 @@ def statement_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 def commands(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Templates from parts (brand as object kind, size as access type) on nations as targets."""
     kind = F.when(F.col("p_size") % 2 == 0, "READ").otherwise("FULL")
-    rows = table(spark, sf_dir, "part").filter("p_partkey <= 40").select(
+    rows = table(spark, sf_dir, "part").select(
         F.col("p_partkey").alias("command_ordinal"),
         F.concat(F.lit("GRANT SELECT ON ALL "), F.upper(F.replace("p_brand", F.lit("#"), F.lit("_"))), F.lit("S IN SCHEMA <schema-name> TO ROLE <access-role-name>")).alias("command_text"),
         kind.alias("access_type"), F.lit(False).alias("first_time_setup_ind"),
@@ -120,7 +126,7 @@ def commands(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 COMMANDS_SQL = """SELECT p_partkey AS command_ordinal, n_name AS schema_name, '{verb} SELECT ON ALL ' || upper(replace(p_brand, '#', '_')) || 'S IN SCHEMA ' || n_name || ' {to} ROLE N' || n_nationkey || '_AR' AS command
-  FROM part JOIN nation ON (p_size % 2) = (n_nationkey % 2) WHERE p_partkey <= 40"""
+  FROM part JOIN nation ON (p_size % 2) = (n_nationkey % 2)"""
 
 
 @query(COMMANDS_SQL.format(verb="GRANT", to="TO"))
