@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Sequence
-from concurrent.futures import ThreadPoolExecutor
+from concurrent.futures import FIRST_EXCEPTION, ThreadPoolExecutor, wait
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,7 +18,7 @@ COPIES_AT_ONCE = 4
 
 
 class CloneError(RuntimeError):
-    """A copy failed; ``done`` names the tables copied before."""
+    """A copy failed; ``done`` names every table that was copied."""
 
     def __init__(self, message: str, done: list[str]):
         super().__init__(message)
@@ -42,8 +42,8 @@ def clone_schema(
     """Copy every table of ``<src>_<layer>`` to ``<user>_<layer>``, replacing it.
 
     The rows are written by the executors; a plain table format has no
-    zero-copy clone, so the cost is one full read and write. Stops at the first
-    failure. Returns schema, table, rows_source, rows_target, ok.
+    zero-copy clone, so the cost is one full read and write. After a failure no
+    further copy starts. Returns schema, table, rows_source, rows_target, ok.
     """
     env = _checked_environment(src)
     if not re.fullmatch(r"[A-Za-z0-9_]+", user):
@@ -64,16 +64,17 @@ def clone_schema(
         spark.table(pair[2]).write.format("parquet").mode("overwrite").saveAsTable(pair[3])
         return pair[3]
 
-    done: list[str] = []
     with ThreadPoolExecutor(COPIES_AT_ONCE) as pool:
         jobs = [pool.submit(copy, pair) for pair in pairs]
-        for job, pair in zip(jobs, pairs):
-            try:
-                done.append(job.result())
-            except Exception as err:
-                for other in jobs:
-                    other.cancel()
-                raise CloneError(f"copying {pair[2]} to {pair[3]} failed: {err}", done) from err
+        wait(jobs, return_when=FIRST_EXCEPTION)
+        for job in jobs:
+            job.cancel()
+    # copies that were running at the failure have ended by now
+    errors = {pair[2]: job.exception() for job, pair in zip(jobs, pairs) if not job.cancelled() and job.exception()}
+    if errors:
+        done = [job.result() for job in jobs if not job.cancelled() and not job.exception()]
+        told = "; ".join(f"{table}: {error}" for table, error in errors.items())
+        raise CloneError(f"copying failed: {told}", done) from next(iter(errors.values()))
     return clone_report(spark, pairs)
 
 
