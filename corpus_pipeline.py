@@ -15,8 +15,8 @@ from millrace.catalogue.registry import Entry, table
 from millrace.llm import quality
 from millrace.llm.byte_bpe import ByteBpe
 from millrace.llm.decontaminate import contaminated
+from millrace.llm.near_copies import near_copies, printed
 from millrace.llm.secret_scan import find_secrets, redact
-from millrace.llm.simhash_dedup import fingerprint, label_components
 from millrace.storage import land, on_one_machine, scratch_path
 
 
@@ -35,16 +35,17 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of every component of linked fingerprints the row with the smallest doc_id
-    stays (null counts as largest; of rows that share the id, one)."""
-    fp, row = _free(docs, "fp"), _free(docs, "row")
+    """Of every component of near copies (five-word Jaccard of 0.8 or more) the row with
+    the smallest doc_id stays (null counts as largest; of rows that share the id, one)."""
+    p, row = _free(docs, "printed"), _free(docs, "row")
     # written, so that the row numbers hold
-    printed = land(docs.withColumn(fp, fingerprint("text")).withColumn(row, F.monotonically_increasing_id()), "printed")
-    small = printed.select(F.col(fp).alias("fp"), F.col(row).alias("row"), F.col("doc_id"))
-    roots = label_components(small, "doc_id").select("fp", "root")
+    numbered = land(docs.withColumn(p, printed("text")).withColumn(row, F.monotonically_increasing_id()), "printed")
+    small = numbered.select(F.col(row).alias("row"), F.col(f"{p}.fp").alias("fp"), F.col(f"{p}.node").alias("node"), "doc_id", "text")
+    roots = near_copies(small.drop("doc_id"))
+    rooted = small.select("row", "node", "doc_id").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")).alias("first")
-    kept = small.join(roots, "fp").groupBy("root").agg(first).select(F.col("first.row").alias(row))
-    return printed.join(kept.hint("shuffle_hash"), row, "left_semi").select(*docs.columns)
+    kept = rooted.groupBy("root").agg(first).select(F.col("first.row").alias(row))
+    return numbered.join(kept.hint("shuffle_hash"), row, "left_semi").select(*docs.columns)
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

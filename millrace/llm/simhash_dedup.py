@@ -43,27 +43,35 @@ PLANES_A_STEP = 8
 _ROWS_AT_ONCE = 1 << 16
 
 
-def simhash(text: str | None, words_in_shingle: int = WORDS_IN_SHINGLE, seed: int = SEED) -> int:
-    """The fingerprint of a text: bit b is set if it is set in over half the shingle hashes."""
+def shingle_hashes(text: str | None, words_in_shingle: int = WORDS_IN_SHINGLE, seed: int = SEED) -> np.ndarray:
     words = (text or "").encode().lower().split()
     if not words:
-        return 0
+        return np.empty(0, np.uint64)
     joined = b" ".join(words)
     ends = np.cumsum([len(w) + 1 for w in words]) - 1
     n = max(1, len(words) - words_in_shingle + 1)
     starts = [0, *(ends[: n - 1] + 1).tolist()]
     stops = ends[-n:].tolist()
     digest = xxhash.xxh64_intdigest
-    hashes = np.array([digest(joined[s:e], seed) for s, e in zip(starts, stops)], np.uint64)
+    return np.array([digest(joined[s:e], seed) for s, e in zip(starts, stops)], np.uint64)
+
+
+def vote(hashes: np.ndarray) -> int:
+    """Bit b is set if it is set in over half the hashes."""
     ones = np.zeros(BITS, np.int64)
-    for at in range(0, n, _ROWS_AT_ONCE):
+    for at in range(0, len(hashes), _ROWS_AT_ONCE):
         some = hashes[at : at + _ROWS_AT_ONCE]
         bits = np.unpackbits(some.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
         ones += np.add.reduce(bits, axis=0, dtype=np.int32)
-    set_bits = (2 * ones > n).astype(np.uint8)
+    set_bits = (2 * ones > len(hashes)).astype(np.uint8)
     return int(np.packbits(set_bits, bitorder="little").view(np.uint64)[0])
 
 
+def simhash(text: str | None, words_in_shingle: int = WORDS_IN_SHINGLE, seed: int = SEED) -> int:
+    """The fingerprint of a text: bit b is set if it is set in over half the shingle hashes."""
+    return vote(shingle_hashes(text, words_in_shingle, seed))
+
+
 def fingerprint(text: Column | str, words_in_shingle: int = WORDS_IN_SHINGLE, seed: int = SEED) -> Column:
     """The fingerprint as a signed long that has the same bits."""
 
