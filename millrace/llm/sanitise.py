@@ -7,8 +7,8 @@ entity, documents that have the term, and documents in which the term stands
 within ``REACH`` characters of a mention. A term's disclosure of an entity is
 their pointwise mutual information over the entity's information content,
 log(N c(e,t) / (c(e) c(t))) / log(N / c(e)): 1 if the term occurs only beside
-the entity, 0 if it says nothing. Pairs seen in fewer than ``SUPPORT`` documents
-aren't judged. Beside a mention of the entity, terms at or above ``GENERALISE`` are
+the entity, 0 if it says nothing. Pairs seen in one document are judged like any
+other. Beside a mention of the entity, terms at or above ``GENERALISE`` are
 replaced by a general word, and those at or above ``REMOVE`` are removed.
 
 A text is read once; its work is linear in its length. Counts per task are
@@ -36,7 +36,6 @@ from millrace.storage import land
 KINDS = ("email", "ip", "card", "phone")
 TERM = "term"
 REACH = 60
-SUPPORT = 2
 GENERALISE = 0.7
 REMOVE = 0.95
 TERMS_AT_ONCE = 200_000
@@ -174,7 +173,7 @@ def find_personal_data(docs: DataFrame, text: str = "text", keep: tuple[str, ...
     with_entity = mentions.groupBy("entity").agg(F.count(F.lit(1)).alias("c_e"))
     with_term = read.filter("term IS NOT NULL").groupBy("term").agg(F.sum("n").alias("c_t"))
     beside = mentions.select("entity", F.explode(F.array_distinct(F.transform("near", lambda t: t["term"]))).alias("term"))
-    pairs = beside.groupBy("entity", "term").agg(F.count(F.lit(1)).alias("c_et")).filter(F.col("c_et") >= SUPPORT)
+    pairs = beside.groupBy("entity", "term").agg(F.count(F.lit(1)).alias("c_et"))
     n = rows.count()
     information = F.log(F.lit(float(n)) / F.col("c_e"))
     shared = F.log(F.lit(float(n)) * F.col("c_et") / F.col("c_e") / F.col("c_t"))

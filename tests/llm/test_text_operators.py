@@ -157,6 +157,12 @@ def test_revealing_terms(spark):
     assert sanitise.find_personal_data(frame.limit(0)).count() == 0
 
 
+def test_terms_of_an_entity_that_occurs_once(spark):
+    texts = ["call zebulon quickly at zed@example.com please", *["call me quickly please"] * 30]
+    found = sanitise.find_personal_data(docs(spark, *texts)).collect()
+    assert {r.doc_id: [texts[r.doc_id][t.start : t.stop] for t in r.terms] for r in found if r.terms} == {0: ["zebulon"]}
+
+
 @pytest.mark.parametrize("empty", [False, True])
 def test_language_id(spark, empty):
     en, de = "the quick fox and the lazy dog with that thing", "der schnelle fuchs und die faule katze mit dem ding"
