@@ -3,17 +3,19 @@
 Base spans are e-mail addresses, IP addresses, card numbers and phone numbers by
 pattern. The value of a span is a protected entity. Over the whole corpus three
 counts say how strongly a term reveals an entity: documents that mention the
-entity, documents that have the term, and documents in which the term stands
-within ``REACH`` characters of a mention. A term's disclosure of an entity is
-their pointwise mutual information over the entity's information content,
-log(N c(e,t) / (c(e) c(t))) / log(N / c(e)): 1 if the term occurs only beside
-the entity, 0 if it says nothing. Pairs seen in one document are judged like any
-other. Beside a mention of the entity, terms at or above ``GENERALISE`` are
-replaced by a general word, and those at or above ``REMOVE`` are removed.
-
-A text is read once; its work is linear in its length. Counts per task are
-combined before the shuffle, and an entity of a third of all documents is one
-row per document on the larger side of a join.
+entity, documents that have the term, and documents that have both. A term's
+disclosure of an entity is their pointwise mutual information over the entity's
+information content, log(N c(e,t) / (c(e) c(t))) / log(N / c(e)): 1 if the term
+occurs only in documents with the entity, 0 if it says nothing. Pairs seen in
+one document are judged like any other. Wherever they stand in the corpus, terms that disclose
+some entity at or above ``GENERALISE`` are replaced by a general word, and those
+at or above ``REMOVE`` are removed. Terms are runs of three or more letters or digits outside
+base spans.
+
+Texts are read twice: for the counts, which are combined per task before the
+shuffle, and for the places of terms, of which only those go into a join that
+pass a bit set of the revealing terms of fixed size. Counting takes time in
+proportion to a document's distinct entities times its distinct terms.
 
 Defined results: a null text counts as empty; without spans the digest is that of
 the empty text; repeated rows get the same spans and count as documents each;
@@ -26,7 +28,9 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -35,10 +39,10 @@ from millrace.storage import land
 
 KINDS = ("email", "ip", "card", "phone")
 TERM = "term"
-REACH = 60
 GENERALISE = 0.7
 REMOVE = 0.95
-TERMS_AT_ONCE = 200_000
+COUNTS_AT_ONCE = 200_000
+BITS = 1 << 22
 
 # The base patterns. Possessive forms match the same and never go back.
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -47,7 +51,7 @@ _IP = re.compile(r"(?<![0-9])[0-9]++\.([0-9]++)\.([0-9]++)\.([0-9]++)")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])++")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _NOT_DIGIT = re.compile(r"[^0-9]+")
-_WORD = re.compile(r"[^\W\d_]{3,}")
+_WORD = re.compile(r"[^\W_]{3,}")
 
 Span = tuple[int, int, str]  # start, end, entity
 
@@ -97,93 +101,129 @@ def base_spans(text: str) -> dict[str, list[Span]]:
     return {k: list(f(text)) for k, f in zip(KINDS, (_emails, _ips, _cards, _phones))}
 
 
-def _nearby(text: str, start: int, end: int, taken: list[tuple[int, int]]) -> Iterator[tuple[str, int, int]]:
-    """Terms that lie wholly within reach of a span and outside all base spans."""
-    for low, high in ((max(0, start - REACH), start), (end, min(len(text), end + REACH))):
-        for m in _WORD.finditer(text, low, high):
-            a, b = m.span()
-            whole = not (a == low and a and text[a - 1].isalpha()) and not (b == high and b < len(text) and text[b].isalpha())
-            if whole and not any(a < y and b > x for x, y in taken):
-                yield m[0].lower(), a, b
+def _read(text: str) -> tuple[list[dict], set[str], str]:
+    """Base spans, entities, and the text with blanks for base spans."""
+    found = base_spans(text)
+    spans = [{"kind": k, "start": a, "stop": b} for k in KINDS for a, b, _ in found[k]]
+    parts, at = [], 0
+    for a, b in sorted((s["start"], s["stop"]) for s in spans):
+        if b > at:
+            parts += [text[at:a], " " * (b - max(a, at))]
+            at = b
+    return spans, {e for k in KINDS for _, _, e in found[k]}, "".join([*parts, text[at:]])
 
 
+_COUNTS = pa.schema([("entity", pa.string()), ("term", pa.string()), ("n", pa.int64())])
 _SPAN = pa.struct([("kind", pa.string()), ("start", pa.int64()), ("stop", pa.int64())])
-_NEAR = pa.struct([("term", pa.string()), ("start", pa.int64()), ("stop", pa.int64())])
-_MENTION = pa.struct([("entity", pa.string()), ("near", pa.list_(_NEAR))])
-_ARROW = pa.schema([("row", pa.int64()), ("spans", pa.list_(_SPAN)), ("mentions", pa.list_(_MENTION)), ("term", pa.string()), ("n", pa.int64())])
+_PLACE = pa.struct([("term", pa.string()), ("start", pa.int64()), ("stop", pa.int64())])
+
+
 _ROWS = (
     "row bigint, spans array<struct<kind: string, start: bigint, stop: bigint>>, "
-    "mentions array<struct<entity: string, near: array<struct<term: string, start: bigint, stop: bigint>>>>, term string, n bigint"
+    "places array<struct<term: string, start: bigint, stop: bigint>>"
 )
 
 
-def _read(text: str) -> tuple[list[dict], list[dict]]:
-    found = base_spans(text)
-    spans = [{"kind": k, "start": a, "stop": b} for k in KINDS for a, b, _ in found[k]]
-    taken = [(s["start"], s["stop"]) for s in spans]
-    mentions: dict[str, set] = {}
-    for k in KINDS:
-        for a, b, entity in found[k]:
-            mentions.setdefault(entity, set()).update(_nearby(text, a, b, [t for t in taken if t[0] < b + REACH and t[1] > a - REACH]))
-    near = [{"entity": e, "near": [dict(zip(("term", "start", "stop"), t)) for t in sorted(ts)]} for e, ts in mentions.items()]
-    return spans, near
+def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Document counts by entity, by term, by both, and of all (both null)."""
+    counts: Counter = Counter()
+
+    def counted() -> pa.RecordBatch:
+        columns = [[k[0] for k in counts], [k[1] for k in counts], list(counts.values())]
+        out = pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, _COUNTS)], schema=_COUNTS)
+        counts.clear()
+        return out
+
+    for batch in batches:
+        counts[None, None] += batch.num_rows
+        for t in batch[0]:
+            _, entities, rest = _read(t.as_py() or "")
+            terms = {w.lower() for w in set(_WORD.findall(rest))}
+            for entity in (None, *entities):
+                if entity is not None:
+                    counts[entity, None] += 1
+                counts.update((entity, w) for w in terms)
+                if len(counts) > COUNTS_AT_ONCE:
+                    yield counted()
+    if counts:
+        yield counted()
+
+
+def _bit(term: str) -> int:
+    return xxhash.xxh64_intdigest(term.encode("utf-8", "surrogatepass")) % BITS
+
+
+def _bits_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The bit set of a task's terms."""
+    bits = np.zeros(BITS, bool)
+    for batch in batches:
+        for t in batch[0].to_pylist():
+            bits[_bit(t)] = True
+    if bits.any():
+        yield pa.RecordBatch.from_arrays([pa.array([np.packbits(bits).tobytes()], pa.binary())], ["bits"])
+
 
+def _bit_set(terms: DataFrame) -> np.ndarray:
+    bits = np.zeros(BITS // 8, np.uint8)
+    for r in terms.mapInArrow(_bits_of, "bits binary").toLocalIterator():
+        bits |= np.frombuffer(r.bits, np.uint8)
+    return bits
 
-def _scan(batches: Iterator[pa.RecordBatch], text: str, kept: list[str]) -> Iterator[pa.RecordBatch]:
-    """Rows of documents, and rows of document counts by term."""
+
+def _scan(batches: Iterator[pa.RecordBatch], kept: list[str], bits: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """Rows of documents, with the places of terms that may be revealing."""
     row = TaskContext.get().partitionId() << 33
-    counts: Counter = Counter()
-    schema = None
+    known: dict[str, bool] = {}
 
-    def counted() -> pa.RecordBatch:
-        columns = {c: pa.nulls(len(counts), schema.field(c).type) for c in schema.names}
-        columns |= {"term": pa.array(list(counts), pa.string()), "n": pa.array(list(counts.values()), pa.int64())}
-        return pa.RecordBatch.from_arrays([columns[c] for c in schema.names], schema=schema)
+    def revealing(word: str) -> bool:
+        if word not in known:
+            if len(known) >= COUNTS_AT_ONCE:
+                known.clear()
+            k = _bit(word.lower())
+            known[word] = bool(bits[k >> 3] >> (7 - (k & 7)) & 1)
+        return known[word]
 
     for batch in batches:
-        schema = pa.schema([batch.schema.field(c) for c in kept] + list(_ARROW))
-        spans, mentions = [], []
-        for t in batch[text]:
-            body = t.as_py() or ""
-            s, m = _read(body)
+        spans, places = [], []
+        for t in batch["body"]:
+            s, _, rest = _read(t.as_py() or "")
             spans.append(s)
-            mentions.append(m)
-            counts.update(set(_WORD.findall(body.lower())))
-            if len(counts) > TERMS_AT_ONCE:
-                yield counted()
-                counts.clear()
+            some = any(revealing(w) for w in set(_WORD.findall(rest)))
+            hits = (m for m in _WORD.finditer(rest) if revealing(m[0])) if some else ()
+            places.append([{"term": m[0].lower(), "start": m.start(), "stop": m.end()} for m in hits])
         n = batch.num_rows
-        own = [pa.array(range(row, row + n), pa.int64()), pa.array(spans, _ARROW.field("spans").type), pa.array(mentions, _ARROW.field("mentions").type)]
+        own = [pa.array(range(row, row + n), pa.int64()), pa.array(spans, pa.list_(_SPAN)), pa.array(places, pa.list_(_PLACE))]
         row += n
-        yield pa.RecordBatch.from_arrays([batch[c] for c in kept] + own + [pa.nulls(n, pa.string()), pa.nulls(n, pa.int64())], schema=schema)
-    if counts:
-        yield counted()
+        yield pa.RecordBatch.from_arrays([batch[c] for c in kept] + own, names=[*kept, "row", "spans", "places"])
 
 
-def find_personal_data(docs: DataFrame, text: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """Columns ``keep``, ``spans`` (base spans by kind and start) and ``terms``
-    (revealing terms by start, with their ``disclosure``), one row per document."""
-    renamed = docs.select(*[F.col(c).alias(f"k{i}") for i, c in enumerate(keep)], F.col(text).alias("body"))
-    kept = [f"k{i}" for i in range(len(keep))]
-    schema = ", ".join([f"{k} {renamed.schema[k].dataType.simpleString()}" for k in kept] + [_ROWS])
-    read = land(renamed.mapInArrow(lambda batches: _scan(batches, "body", kept), schema), "personal-data")
-    rows = read.filter("term IS NULL")
-    mentions = rows.select("row", F.explode("mentions").alias("m")).select("row", "m.entity", "m.near")
-    spoken = mentions.select("row", "entity", F.explode("near").alias("t")).select("row", "entity", "t.*")
-    with_entity = mentions.groupBy("entity").agg(F.count(F.lit(1)).alias("c_e"))
-    with_term = read.filter("term IS NOT NULL").groupBy("term").agg(F.sum("n").alias("c_t"))
-    beside = mentions.select("entity", F.explode(F.array_distinct(F.transform("near", lambda t: t["term"]))).alias("term"))
-    pairs = beside.groupBy("entity", "term").agg(F.count(F.lit(1)).alias("c_et"))
-    n = rows.count()
+def revealing_terms(texts: DataFrame) -> DataFrame:
+    """``term`` and its greatest ``disclosure`` of an entity, for those at or above ``GENERALISE``."""
+    counts = land(texts.mapInArrow(_count, "entity string, term string, n bigint").groupBy("entity", "term").agg(F.sum("n").alias("n")), "counts")
+    n = counts.filter("entity IS NULL AND term IS NULL").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    with_entity = counts.filter("entity IS NOT NULL AND term IS NULL").select("entity", F.col("n").alias("c_e"))
+    with_term = counts.filter("entity IS NULL AND term IS NOT NULL").select("term", F.col("n").alias("c_t"))
+    pairs = counts.filter("entity IS NOT NULL AND term IS NOT NULL").select("entity", "term", F.col("n").alias("c_et"))
     information = F.log(F.lit(float(n)) / F.col("c_e"))
     shared = F.log(F.lit(float(n)) * F.col("c_et") / F.col("c_e") / F.col("c_t"))
-    risky = (
+    return (
         pairs.join(with_entity, "entity").join(with_term, "term")
         .filter(F.col("c_e") < n)
-        .select("entity", "term", (shared / information).alias("disclosure"))
+        .groupBy("term").agg(F.max(shared / information).alias("disclosure"))
         .filter(F.col("disclosure") >= GENERALISE)
     )
-    told = spoken.join(risky, ["entity", "term"]).groupBy("row", "start", "stop").agg(F.max("disclosure").alias("disclosure"))
+
+
+def find_personal_data(docs: DataFrame, text: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """Columns ``keep``, ``spans`` (base spans by kind and start) and ``terms``
+    (revealing terms by start, with their ``disclosure``), one row per document."""
+    renamed = docs.select(*[F.col(c).alias(f"k{i}") for i, c in enumerate(keep)], F.col(text).alias("body"))
+    kept = [f"k{i}" for i in range(len(keep))]
+    risky = land(revealing_terms(renamed.select("body")), "revealing")
+    bits = docs.sparkSession.sparkContext.broadcast(_bit_set(risky.select("term")))
+    schema = ", ".join([f"{k} {renamed.schema[k].dataType.simpleString()}" for k in kept] + [_ROWS])
+    rows = land(renamed.mapInArrow(lambda batches: _scan(batches, kept, bits.value), schema), "personal-data")
+    told = rows.select("row", F.explode("places").alias("p")).select("row", "p.*").join(risky, "term")
     by_row = told.groupBy("row").agg(F.sort_array(F.collect_list(F.struct("start", "stop", "disclosure"))).alias("terms"))
     none = F.array().cast("array<struct<start: bigint, stop: bigint, disclosure: double>>")
     return rows.select("row", *kept, "spans").join(by_row, "row", "left").select(

@@ -163,6 +163,15 @@ def test_terms_of_an_entity_that_occurs_once(spark):
     assert {r.doc_id: [texts[r.doc_id][t.start : t.stop] for t in r.terms] for r in found if r.terms} == {0: ["zebulon"]}
 
 
+def test_revealing_terms_are_marked_wherever_they_stand(spark):
+    filler = "and then some more of it again " * 10
+    texts = [f"Zebulon came. {filler} Mail zed@example.com or ask. {filler} Account DE7700123.", "zebulon went and some said de7700123 again"]
+    texts += ["mail and then some more again came ask account went said"] * 60
+    found = sanitise.find_personal_data(docs(spark, *texts)).collect()
+    got = {r.doc_id: [texts[r.doc_id][t.start : t.stop] for t in r.terms] for r in found if r.terms}
+    assert got == {0: ["Zebulon", "DE7700123"], 1: ["zebulon", "de7700123"]}
+
+
 @pytest.mark.parametrize("empty", [False, True])
 def test_language_id(spark, empty):
     en, de = "the quick fox and the lazy dog with that thing", "der schnelle fuchs und die faule katze mit dem ding"
