@@ -12,8 +12,10 @@ shingles (as multisets, weighted by rarity among the items) must reach
 
 A window without any shingle of the benchmark has similarity zero with every
 item and is not fingerprinted. The benchmark is read in blocks of
-``ITEMS_AT_ONCE`` items, so that what is broadcast is bounded; every block sees
-all documents, whole.
+``ITEMS_AT_ONCE`` items; every block sees all documents, whole. Weights are
+counted over the whole benchmark, so that rows don't depend on the blocks.
+Every block is broadcast with the shingles that more than one item has, the only
+ones whose weight isn't the greatest.
 
 Defined results: null texts count as empty; a text or item of fewer than five
 words has one shingle, all of it; an item or text without words matches nothing;
@@ -115,6 +117,28 @@ def _print(votes: np.ndarray) -> np.ndarray:
     return np.packbits(votes > 0, axis=-1, bitorder="little")
 
 
+@dataclass
+class Weights:
+    """Weights of shingles by rarity among all items. ``known`` (sorted) holds those that several items have."""
+
+    known: np.ndarray
+    weights: np.ndarray
+    rare: float
+
+    def weigh(self, hashes: np.ndarray) -> np.ndarray:
+        if not len(self.known):
+            return np.full(len(hashes), self.rare)
+        at = np.minimum(np.searchsorted(self.known, hashes), len(self.known) - 1)
+        return np.where(self.known[at] == hashes, self.weights[at], self.rare)
+
+
+def weights_of(known: np.ndarray, items_with: np.ndarray, items: int) -> Weights:
+    """Weights are multiples of 2**-20: sums of them are exact, in whatever order."""
+    step = 1 << 20
+    own = np.round((1.0 + np.log(items / items_with)) * step) / step
+    return Weights(known, own, float(np.round((1.0 + np.log(max(items, 1))) * step) / step))
+
+
 @dataclass
 class Items:
     """A block of the benchmark, ready to be compared with. ``near[b][v]`` is the
@@ -123,28 +147,29 @@ class Items:
     ids: list[int]
     shingles: list[np.ndarray]
     known: np.ndarray
-    weights: np.ndarray
-    rare: float
+    weights: Weights
     filter: np.ndarray
     prints: np.ndarray
     near: np.ndarray
     by_size: dict[int, np.ndarray]
 
     def weigh(self, hashes: np.ndarray) -> np.ndarray:
-        at = np.minimum(np.searchsorted(self.known, hashes), len(self.known) - 1)
-        return np.where(self.known[at] == hashes, self.weights[at], self.rare)
+        return self.weights.weigh(hashes)
 
 
-def prepare(rows: list[tuple[int, str | None]], radius: int = RADIUS) -> Items | None:
+def prepare(rows: list[tuple[int, str | None]], radius: int = RADIUS, weights: Weights | None = None) -> Items | None:
+    """A block of items. Without ``weights`` the block is the whole benchmark."""
     cut = [(i, shingles(word_hashes([t or ""])[0])) for i, t in rows]
     cut = [(i, s) for i, s in cut if len(s)]
     if not cut:
         return None
     known, items_with = np.unique(np.concatenate([np.unique(s) for _, s in cut]), return_counts=True)
-    weights = 1.0 + np.log(len(cut) / items_with)
+    if weights is None:
+        several = items_with > 1
+        weights = weights_of(known[several], items_with[several], len(cut))
     filter_ = np.zeros(1 << _FILTER_BITS, bool)
     filter_[known >> np.uint64(64 - _FILTER_BITS)] = True
-    items = Items([i for i, _ in cut], [s for _, s in cut], known, weights, 1.0 + np.log(len(cut)), filter_, None, None, {})
+    items = Items([i for i, _ in cut], [s for _, s in cut], known, weights, filter_, None, None, {})
     items.prints = np.array([_print(_votes(s, items.weigh(s)).sum(axis=0)) for s in items.shingles])
     values = np.arange(256, dtype=np.uint8)
     near = [np.bitwise_count(values[:, None] ^ items.prints[None, :, b]) <= radius // BYTES for b in range(BYTES)]
@@ -228,6 +253,21 @@ def _blocks(benchmark: DataFrame, item_id: str, text: str) -> Iterator[list[tupl
         yield rows
 
 
+def benchmark_weights(benchmark: DataFrame, text: str) -> Weights:
+    """Weights over all items; an item without words doesn't count."""
+
+    def hashes(texts: pa.Array) -> pa.Array:
+        own = [np.unique(shingles(word_hashes([t or ""])[0])).view(np.int64) for t in texts.to_pylist()]
+        return pa.array(own, pa.list_(pa.int64()))
+
+    own = benchmark.select(F.arrow_udf(hashes, "array<long>").asNondeterministic()(text).alias("own"))
+    items = own.filter(F.size("own") > 0).count()
+    counts = own.select(F.explode("own").alias("h")).groupBy("h").count().filter("count > 1").toArrow()
+    known, items_with = counts["h"].to_numpy().view(np.uint64), counts["count"].to_numpy()
+    order = np.argsort(known)
+    return weights_of(known[order], items_with[order], items)
+
+
 def contaminated(
     docs: DataFrame,
     benchmark: DataFrame,
@@ -241,8 +281,9 @@ def contaminated(
     """Add ``out``: an array of structs, one per passage and item matched; empty for clean documents."""
     spark = docs.sparkSession
     columns = []
+    weights = benchmark_weights(benchmark, item_text)
     for rows in _blocks(benchmark, item_id, item_text):
-        items = prepare(rows, radius)
+        items = prepare(rows, radius, weights)
         if items is not None:
             columns.append(_match_column(spark.sparkContext.broadcast(items), text, least, radius))
     none = F.array().cast(f"array<struct<{MATCHES.replace(' long', ': bigint').replace(' double', ': double')}>>")

@@ -111,6 +111,22 @@ def test_decontamination_equals_all_windows():
         assert {m[0] for m in decontaminate.find_all([text], items)[0]} == want
 
 
+def test_decontamination_does_not_depend_on_blocks(spark, monkeypatch):
+    rng = random.Random(4)
+    words = [f"w{i}" for i in range(500)]
+    preamble = " ".join(rng.choices(words, k=40))
+    items = [f"{preamble} {' '.join(rng.choices(words, k=8))}" for _ in range(10)]
+    texts = [f"{preamble} {' '.join(rng.choices(words, k=8))}" for _ in range(5)] + items[::3]
+    texts += [" ".join(w if rng.random() > 0.03 else "changed" for w in i.split()) for i in items]
+    benchmark = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    found = []
+    for size in (3, 2_000):
+        monkeypatch.setattr(decontaminate, "ITEMS_AT_ONCE", size)
+        found.append({r.doc_id: r.matches for r in decontaminate.contaminated(docs(spark, *texts), benchmark).collect()})
+    assert found[0] == found[1]
+    assert not any(found[0][k] for k in range(5)) and all(found[0][k] for k in range(5, 9))
+
+
 PII = {
     "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
     "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
