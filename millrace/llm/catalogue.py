@@ -10,6 +10,7 @@ from millrace.catalogue.registry import Entry, Query, table
 from millrace.llm import posting_lists, quality
 from millrace.llm.byte_bpe import ByteBpe
 from millrace.llm.decontaminate import contaminated
+from millrace.llm.dialogue_repair import damaged, repair, report
 from millrace.llm.exact_substrings import remove_repeats
 from millrace.llm.language_id import fit as fit_languages
 from millrace.llm.language_id import language, remainder
@@ -183,3 +184,81 @@ def op1_posting_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return docs.select("doc_id", "stripped.n_bytes", "stripped.n_removed", "stripped.n_spans", F.sha2("stripped.kept", 256).alias("kept_sha256"))
+
+
+# crc32 bit by bit, the least (cost, edits) from each state by recursion from the end, then the edits replayed
+_REPAIR_SQL = r"""
+WITH RECURSIVE keyed AS (
+    SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+           coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS key FROM conversations),
+fated AS (
+    SELECT conv_id, turn, role, text,
+           xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(key, ''), lambda c: ascii(c)::BIGINT)),
+               lambda x, y: list_reduce(list_prepend(xor(x, y), range(8)),
+                   lambda c, k: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384::BIGINT) ELSE c // 2 END)), 4294967295::BIGINT) % 20 AS fate
+    FROM keyed),
+hit AS (
+    SELECT conv_id, turn, CASE WHEN fate = 4 THEN 'user' ELSE role END AS role,
+           CASE fate WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+           unnest(CASE WHEN fate = 3 THEN [0, 1] ELSE [0] END) AS again
+    FROM fated WHERE fate <> 0),
+placed AS (
+    SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i,
+           rtrim(text, E' \t\n\x0b\f\r') AS told FROM hit),
+faulty AS (
+    SELECT conv_id, i, turn, role, text, CASE WHEN role[1] IN ('s', 'u', 'a') THEN role[1] ELSE '-' END AS t,
+           CASE WHEN told = '' THEN 1 WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 2
+                WHEN told[-1] NOT IN ('.', '!', '?') THEN 3 ELSE 0 END AS f FROM placed),
+sized AS (
+    SELECT conv_id, count(*) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (f = 1) AS blank,
+           count(*) FILTER (f = 2) AS duplicate, count(*) FILTER (f = 3) AS truncated FROM faulty GROUP BY conv_id),
+met AS (
+    SELECT conv_id, count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal
+    FROM (SELECT conv_id, lag(t) OVER (PARTITION BY conv_id ORDER BY i) || t AS pair FROM faulty) GROUP BY conv_id),
+back AS (
+    SELECT conv_id, n + 1 AS i, {'c': 0, 'a': ''} AS v0, {'c': 6, 'a': 'II'} AS v1, {'c': 3, 'a': 'I'} AS v2, {'c': 0, 'a': ''} AS v3 FROM sized
+    UNION ALL
+    SELECT conv_id, i, list_min([w0, {'c': 3 + w2.c, 'a': 'I' || w2.a}]), list_min([w1, {'c': 3 + w2.c, 'a': 'I' || w2.a}]),
+           list_min([w2, {'c': 3 + w3.c, 'a': 'I' || w3.a}]), list_min([w3, {'c': 3 + w2.c, 'a': 'I' || w2.a}])
+    FROM (
+        SELECT conv_id, i, x0 AS w0, x1 AS w1, list_min([x2, {'c': 3 + x3.c, 'a': 'I' || x3.a}]) AS w2,
+               list_min([x3, {'c': 3 + x2.c, 'a': 'I' || x2.a}]) AS w3
+        FROM (
+            SELECT r.conv_id, r.i,
+                   list_min(list_filter([{'c': 4 + v0.c, 'a': 'D' || v0.a}, CASE WHEN f NOT IN (1, 2) THEN {'c': 3 + cut + v2.c, 'a': 'R' || v2.a} END,
+                       CASE WHEN f NOT IN (1, 2) AND t = 's' THEN {'c': cut + v1.c, 'a': 'K' || v1.a} END,
+                       CASE WHEN f NOT IN (1, 2) AND t = 'u' THEN {'c': cut + v2.c, 'a': 'K' || v2.a} END], lambda x: x IS NOT NULL)) AS x0,
+                   list_min(list_filter([{'c': 4 + v1.c, 'a': 'D' || v1.a}, CASE WHEN f NOT IN (1, 2) THEN {'c': 3 + cut + v2.c, 'a': 'R' || v2.a} END,
+                       CASE WHEN f NOT IN (1, 2) AND t = 'u' THEN {'c': cut + v2.c, 'a': 'K' || v2.a} END], lambda x: x IS NOT NULL)) AS x1,
+                   list_min(list_filter([{'c': 4 + v2.c, 'a': 'D' || v2.a}, CASE WHEN f NOT IN (1, 2) THEN {'c': 3 + cut + v3.c, 'a': 'R' || v3.a} END,
+                       CASE WHEN f NOT IN (1, 2) AND t = 'a' THEN {'c': cut + v3.c, 'a': 'K' || v3.a} END], lambda x: x IS NOT NULL)) AS x2,
+                   list_min(list_filter([{'c': 4 + v3.c, 'a': 'D' || v3.a}, CASE WHEN f NOT IN (1, 2) THEN {'c': 3 + cut + v2.c, 'a': 'R' || v2.a} END,
+                       CASE WHEN f NOT IN (1, 2) AND t = 'u' THEN {'c': cut + v2.c, 'a': 'K' || v2.a} END], lambda x: x IS NOT NULL)) AS x3
+            FROM back b JOIN (SELECT *, CASE WHEN f = 3 THEN 3 ELSE 0 END AS cut FROM faulty) r
+              ON r.conv_id IS NOT DISTINCT FROM b.conv_id AND r.i = b.i - 1))),
+walk AS (
+    SELECT conv_id, v0.a AS audit, v0.c AS cost, 1 AS step, 1::BIGINT AS i, 0 AS state, NULL::VARCHAR AS lines FROM back WHERE i = 1
+    UNION ALL
+    SELECT w.conv_id, audit, cost, step + 1, CASE WHEN audit[step] = 'I' THEN w.i ELSE w.i + 1 END,
+           CASE audit[step] WHEN 'D' THEN state WHEN 'K' THEN CASE t WHEN 's' THEN 1 WHEN 'u' THEN 2 ELSE 3 END
+                ELSE CASE WHEN state = 2 THEN 3 ELSE 2 END END,
+           CASE WHEN audit[step] = 'D' THEN lines
+                ELSE coalesce(lines || E'
+', '') || CASE WHEN audit[step] = 'K' THEN role WHEN state = 2 THEN 'assistant' ELSE 'user' END
+                     || ':' || CASE WHEN audit[step] = 'I' THEN '' ELSE r.text END END
+    FROM walk w LEFT JOIN faulty r ON r.conv_id IS NOT DISTINCT FROM w.conv_id AND r.i = w.i WHERE step <= length(audit)),
+done AS (SELECT * FROM walk WHERE step = length(audit) + 1)
+SELECT o.conv_id, coalesce(s.gaps, 0)::BIGINT AS gaps, coalesce(s.blank, 0) AS blank, coalesce(s.duplicate, 0) AS duplicate,
+       coalesce(s.truncated, 0) AS truncated, coalesce(m.illegal, 0) AS illegal, coalesce(d.cost, 0)::BIGINT AS cost, coalesce(d.audit, '') AS audit,
+       sha256(coalesce(d.lines, '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) o
+LEFT JOIN sized s ON s.conv_id IS NOT DISTINCT FROM o.conv_id
+LEFT JOIN met m ON m.conv_id IS NOT DISTINCT FROM o.conv_id
+LEFT JOIN done d ON d.conv_id IS NOT DISTINCT FROM o.conv_id
+"""
+
+
+@llm_query(_REPAIR_SQL)
+def op13_dialogue_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations")
+    return report(repair(damaged(turns)), turns)
