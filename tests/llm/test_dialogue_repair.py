@@ -134,4 +134,4 @@ def test_empty_tables_and_conversations_without_rows(spark):
         "repaired_sha256": hashlib.sha256(b"").hexdigest(),
     }
     named = spark.createDataFrame([("a", 1, "assistant", "x.")], "conv_id string, turn int, role string, text string")
-    assert report(repair(named), named).first().audit == "D"
+    assert report(repair(named), named).first().audit == "IK"
