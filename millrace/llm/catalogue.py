@@ -17,6 +17,7 @@ from millrace.llm.language_id import language, remainder
 from millrace.llm.sanitise import KINDS, TERM, find_personal_data
 from millrace.llm.secret_scan import BASE_RULES, find_secrets
 from millrace.llm.simhash_dedup import near_duplicates
+from millrace.llm.token_groups import jaccard_components
 from millrace.llm.url_filter import judge
 from millrace.storage import scratch_path
 
@@ -290,3 +291,31 @@ def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
     rows = table(spark, sf_dir, "embeddings").select("vec_id", label.alias("label"), hard_negatives.whole_numbers("embedding").alias("vector"))
     return hard_negatives.mine(*hard_negatives.build(rows))
+
+
+_JACCARD_SQL = r"""
+WITH RECURSIVE words AS (
+    SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS w
+    FROM documents),
+sets AS (
+    SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+        ELSE list_sort(list_distinct(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]))) END AS s FROM words),
+nodes AS (SELECT s, len(s) AS n, min(doc_id) AS node FROM sets WHERE len(s) > 0 GROUP BY s),
+tokens AS (SELECT node, n, unnest(s) AS t FROM nodes),
+shared AS (
+    SELECT a.node AS a, b.node AS b, a.n + b.n - count(*) AS either, count(*) AS both_
+    FROM tokens a JOIN tokens b ON a.t = b.t AND a.node < b.node AND 100 * a.n >= 90 * b.n AND 100 * b.n >= 90 * a.n
+    GROUP BY a.node, b.node, a.n, b.n),
+links AS (SELECT a, b FROM shared WHERE 100 * both_ >= 90 * either UNION SELECT b, a FROM shared WHERE 100 * both_ >= 90 * either),
+reach AS (
+    SELECT a AS node, a AS other FROM links
+    UNION SELECT r.node, l.b FROM reach r JOIN links l ON l.a = r.other),
+roots AS (SELECT node, min(other) AS root FROM reach GROUP BY node)
+SELECT d.doc_id, len(d.s)::BIGINT AS n_shingles, coalesce(r.root, n.node, d.doc_id) AS component_id
+FROM sets d LEFT JOIN nodes n ON n.s = d.s LEFT JOIN roots r ON r.node = n.node
+"""
+
+
+@llm_query(_JACCARD_SQL)
+def op12_token_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_components(table(spark, sf_dir, "documents").select("doc_id", "text"))
