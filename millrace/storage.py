@@ -44,17 +44,27 @@ def release(spark: SparkSession, path: str) -> None:
     where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
 
 
-def land(df: DataFrame, label: str = "landed") -> DataFrame:
+FREE_KEY = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def land(df: DataFrame, label: str = "landed", free: bool = False) -> DataFrame:
     """Write ``df`` once and return a frame that reads the files back.
 
     The lineage is cut, the rows are computed once however often they are used,
     and Spark knows the size on disk: it broadcasts the frame in a join only
     while that size is under ``spark.sql.autoBroadcastJoinThreshold`` and
-    shuffles (with the adaptive skew split) beyond it.
+    shuffles (with the adaptive skew split) beyond it. With ``free``, the shuffle
+    files of the write are removed as soon as it ends: for frames that nothing runs again.
     """
     spark = df.sparkSession
     path = scratch_path(spark, label)
-    df.write.parquet(path)
+    before = spark.conf.get(FREE_KEY, "false")
+    if free:
+        spark.conf.set(FREE_KEY, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(FREE_KEY, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
