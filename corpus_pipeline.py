@@ -17,7 +17,7 @@ from millrace.llm.byte_bpe import ByteBpe
 from millrace.llm.decontaminate import contaminated
 from millrace.llm.near_copies import near_copies, printed
 from millrace.llm.secret_scan import find_secrets, redact
-from millrace.storage import land, on_one_machine, scratch_path
+from millrace.storage import bound_batches, land, on_one_machine, scratch_path
 
 
 def _free(docs: DataFrame, name: str) -> str:
@@ -37,6 +37,7 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of every component of near copies (five-word Jaccard of 0.8 or more) the row with
     the smallest doc_id stays (null counts as largest; of rows that share the id, one)."""
+    bound_batches(spark)
     p, row = _free(docs, "printed"), _free(docs, "row")
     # written, so that the row numbers hold
     numbered = land(docs.withColumn(p, printed("text")).withColumn(row, F.monotonically_increasing_id()), "printed")
@@ -50,6 +51,7 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a passage of a benchmark item go."""
+    bound_batches(spark)
     matches = _free(docs, "matches")
     marked = contaminated(docs, table(spark, sf_dir, "benchmark"), out=matches)
     return marked.filter(F.size(matches) == 0).drop(matches)
@@ -57,6 +59,7 @@ def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Secrets are replaced by a mask, and n_chars follows the text."""
+    bound_batches(spark)
     clashing = {c: _free(docs, c) for c in ("blob", "spans") if c in docs.columns}
     found = find_secrets(docs.withColumnsRenamed(clashing), scratch_path(spark, "secret-ledger"))
     clean = redact(found, "text").drop("blob", "spans").withColumnsRenamed({new: old for old, new in clashing.items()})

@@ -25,8 +25,13 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def on_one_machine(spark: SparkSession) -> SparkSession:
-    """Name a shared folder for a session of tests, bench or smoke run that has none."""
-    if not spark.conf.get(CHECKPOINT_KEY, None):
+    """Name a shared folder for a session of tests, bench or smoke run that has none.
+
+    Only where driver and executors are one process; on a cluster a folder of the
+    driver's is none of the executors', and work that lands anything stops with an error.
+    """
+    alone = spark.sparkContext.master.partition("[")[0] == "local"
+    if alone and not spark.conf.get(CHECKPOINT_KEY, None):
         spark.conf.set(CHECKPOINT_KEY, f"file://{tempfile.mkdtemp(prefix='millrace-')}")
     return spark
 
