@@ -28,8 +28,10 @@ from pyspark import Broadcast
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
+from millrace.storage import bound_batches
+
 UNKNOWN = "<unk>"
-CACHED_PRETOKENS = 200_000
+CACHED_PRETOKENS = 30_000  # at most 64 characters and as many ids each: about 10 MB, 30 at worst
 CACHED_LENGTH = 64
 TEXTS_AT_ONCE = 256
 NORMAL_PIECE, UNKNOWN_PIECE = 1, 2
@@ -134,7 +136,7 @@ class Codec:
         return b"".join(map(self.pieces.__getitem__, ids))
 
 
-@lru_cache(maxsize=2)
+@lru_cache(maxsize=1)
 def _codec(proto: bytes, pattern: str) -> Codec:
     return Codec(proto, pattern)
 
@@ -156,6 +158,7 @@ class ByteBpe:
     vocabulary) is the only thing that is broadcast."""
 
     def __init__(self, spark: SparkSession, ranks_path: str, pattern: str):
+        bound_batches(spark)
         self.proto: Broadcast = spark.sparkContext.broadcast(model_proto(read_ranks(ranks_path)))
         self.pattern = pattern
 

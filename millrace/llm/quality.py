@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.llm.char_ngrams import ngram_buckets
-from millrace.storage import land
+from millrace.storage import bound_batches, land
 
 CONTENT_BITS = 9
 CONTENT = 1 << CONTENT_BITS
@@ -166,9 +166,8 @@ class Model:
 
 
 def _unpack(batch) -> tuple[np.ndarray, np.ndarray]:
-    content = np.array([np.frombuffer(c, np.uint8) for c in batch["content"].to_pylist()]).reshape(-1, CONTENT)
-    meta = np.array(batch["meta"].to_pylist(), np.float32).reshape(len(content), -1)
-    return content, meta
+    content = np.frombuffer(b"".join(batch["content"].to_pylist()), np.uint8).reshape(-1, CONTENT)
+    return content, np.asarray(batch["meta"].flatten(), np.float32).reshape(len(content), META)
 
 
 def _confident(spark: SparkSession, unlabelled: DataFrame, views: list[Logistic]) -> list:
@@ -197,6 +196,7 @@ def _confident(spark: SparkSession, unlabelled: DataFrame, views: list[Logistic]
 def fit(docs: DataFrame, labels: DataFrame, labelled_rows: int = LABELLED_ROWS, rounds: int = ROUNDS) -> Model:
     """Co-train on ``docs`` (doc_id, text, lang, source) and ``labels`` (doc_id, quality)."""
     spark = docs.sparkSession
+    bound_batches(spark)
     given = labels.filter(F.col("quality").isNotNull() & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.min("quality").alias("quality"))
     profiled = docs.select("doc_id", _profile_column().alias("p")).select("doc_id", "p.content", "p.meta")
     # the one shuffle of profiles; the rounds only filter what is written here
