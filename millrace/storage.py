@@ -73,14 +73,14 @@ def land(df: DataFrame, label: str = "landed", free: bool = False) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 2 << 20
 
 
 def bound_batches(spark: SparkSession) -> None:
     """Let no Arrow batch that goes to Python exceed ``BATCH_BYTES``, where rows may be wide.
 
     Spark's own bound is 64 MB, which JVM and Python hold several times over for each
-    running task. A session that asks for less keeps its setting.
+    worker, and an executor keeps more workers than cores. A session that asks for less keeps its setting.
     """
     key = "spark.sql.execution.arrow.maxBytesPerBatch"
     now = spark._jsparkSession.sessionState().conf().arrowMaxBytesPerBatch()
