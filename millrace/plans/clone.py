@@ -48,6 +48,8 @@ def clone_schema(
     env = _checked_environment(src)
     if not re.fullmatch(r"[A-Za-z0-9_]+", user):
         raise ValueError("user must be a plain name")
+    if user.upper() in SOURCE_ENVIRONMENTS:
+        raise ValueError(f"{user} is an environment, not a user: its tables would be replaced")
     pairs = []
     for layer in layers:
         source_db, target_db = f"{env}_{layer}", f"{user.lower()}_{layer}"

@@ -30,3 +30,9 @@ def test_failure_names_all_copied(spark, source):
     assert set(failed.value.done) <= there
     assert "dev_raw.`bad`" in str(failed.value)
     assert "kim_raw.`bad`" not in failed.value.done
+
+
+def test_no_environment_is_a_target(spark):
+    for src, user in (("dev", "prod"), ("dev", "Dev"), ("qa", "QA")):
+        with pytest.raises(ValueError, match="environment"):
+            clone.clone_schema(spark, src, user)
