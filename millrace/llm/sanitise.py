@@ -6,19 +6,29 @@ counts say how strongly a term reveals an entity: documents that mention the
 entity, documents that have the term, and documents that have both. A term's
 disclosure of an entity is their pointwise mutual information over the entity's
 information content, log(N c(e,t) / (c(e) c(t))) / log(N / c(e)): 1 if the term
-occurs only in documents with the entity, 0 if it says nothing. Pairs seen in
-one document are judged like any other. Wherever they stand in the corpus, terms that disclose
-some entity at or above ``GENERALISE`` are replaced by a general word, and those
-at or above ``REMOVE`` are removed. Terms are runs of three or more letters or digits outside
-base spans.
+occurs only in documents with the entity, 0 if it says nothing.
+
+A pair also needs evidence, as in a large corpus every rare word beside an
+address has a high measure. A term reveals an entity if its disclosure is
+``GENERALISE`` or more and the entity is mentioned in at least ``PROBABLE`` of the
+term's documents, pairs seen in one document judged like any other. In documents
+that mention the entity such terms are masked. In other documents they are
+masked if the lower confidence bound (Wilson, one-sided, 95 %) of that share is
+``SURE`` or more: one document says too little about a word that stands elsewhere
+too. Terms at or above ``GENERALISE`` are replaced by a general word, those at or
+above ``REMOVE`` are removed. Terms are runs of three or more letters or digits
+outside base spans.
 
 Texts are read twice: for the counts, which are combined per task before the
 shuffle, and for the places of terms, of which only those go into a join that
-pass a bit set of the revealing terms of fixed size. Counting takes time in
-proportion to a document's distinct entities times its distinct terms.
+pass a bit set of fixed size: of terms to mask anywhere, or of all revealing terms
+in documents with an entity. Counting takes time in proportion to a document's
+distinct entities times its distinct terms. A term reveals at most ``1 / PROBABLE``
+times as many entities as its documents mention on average.
 
 Defined results: a null text counts as empty; without spans the digest is that of
-the empty text; repeated rows get the same spans and count as documents each;
+the empty text; repeated rows get the same spans and count as documents each; a
+kept column named like a result gets underscores at its end;
 no term is judged in an empty corpus or where an entity is in every document.
 """
 
@@ -41,6 +51,9 @@ KINDS = ("email", "ip", "card", "phone")
 TERM = "term"
 GENERALISE = 0.7
 REMOVE = 0.95
+PROBABLE = 0.5
+SURE = 0.25
+Z = 1.645  # normal quantile of 95 %
 COUNTS_AT_ONCE = 200_000
 BITS = 1 << 22
 
@@ -119,7 +132,7 @@ _PLACE = pa.struct([("term", pa.string()), ("start", pa.int64()), ("stop", pa.in
 
 
 _ROWS = (
-    "row bigint, spans array<struct<kind: string, start: bigint, stop: bigint>>, "
+    "row bigint, entities array<string>, spans array<struct<kind: string, start: bigint, stop: bigint>>, "
     "places array<struct<term: string, start: bigint, stop: bigint>>"
 )
 
@@ -170,35 +183,46 @@ def _bit_set(terms: DataFrame) -> np.ndarray:
     return bits
 
 
-def _scan(batches: Iterator[pa.RecordBatch], kept: list[str], bits: np.ndarray) -> Iterator[pa.RecordBatch]:
-    """Rows of documents, with the places of terms that may be revealing."""
+def _scan(batches: Iterator[pa.RecordBatch], kept: list[str], anywhere: np.ndarray, beside: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """Rows of documents, with their entities and the places of terms that may be revealing:
+    those of ``beside`` in documents with an entity, of ``anywhere`` in the others."""
     row = TaskContext.get().partitionId() << 33
-    known: dict[str, bool] = {}
+    known: dict[str, tuple[bool, bool]] = {}
 
-    def revealing(word: str) -> bool:
+    def revealing(word: str) -> tuple[bool, bool]:
         if word not in known:
             if len(known) >= COUNTS_AT_ONCE:
                 known.clear()
             k = _bit(word.lower())
-            known[word] = bool(bits[k >> 3] >> (7 - (k & 7)) & 1)
+            known[word] = tuple(bool(bits[k >> 3] >> (7 - (k & 7)) & 1) for bits in (anywhere, beside))
         return known[word]
 
     for batch in batches:
-        spans, places = [], []
+        spans, places, mentioned = [], [], []
         for t in batch["body"]:
-            s, _, rest = _read(t.as_py() or "")
+            s, entities, rest = _read(t.as_py() or "")
+            which = 1 if entities else 0
             spans.append(s)
-            some = any(revealing(w) for w in set(_WORD.findall(rest)))
-            hits = (m for m in _WORD.finditer(rest) if revealing(m[0])) if some else ()
+            mentioned.append(sorted(entities))
+            some = any(revealing(w)[which] for w in set(_WORD.findall(rest)))
+            hits = (m for m in _WORD.finditer(rest) if revealing(m[0])[which]) if some else ()
             places.append([{"term": m[0].lower(), "start": m.start(), "stop": m.end()} for m in hits])
         n = batch.num_rows
-        own = [pa.array(range(row, row + n), pa.int64()), pa.array(spans, pa.list_(_SPAN)), pa.array(places, pa.list_(_PLACE))]
+        own = [pa.array(range(row, row + n), pa.int64()), pa.array(mentioned, pa.list_(pa.string()))]
+        own += [pa.array(spans, pa.list_(_SPAN)), pa.array(places, pa.list_(_PLACE))]
         row += n
-        yield pa.RecordBatch.from_arrays([batch[c] for c in kept] + own, names=[*kept, "row", "spans", "places"])
+        yield pa.RecordBatch.from_arrays([batch[c] for c in kept] + own, names=[*kept, "row", "entities", "spans", "places"])
+
+
+def _lower_bound(hits: Column, of: Column) -> Column:
+    """Wilson's lower bound of a share."""
+    p, z2 = hits / of, Z * Z
+    return (p + z2 / (2 * of) - Z * F.sqrt(p * (1 - p) / of + z2 / (4 * of * of))) / (1 + z2 / of)
 
 
 def revealing_terms(texts: DataFrame) -> DataFrame:
-    """``term`` and its greatest ``disclosure`` of an entity, for those at or above ``GENERALISE``."""
+    """``entity``, ``term``, ``disclosure`` and ``sure`` (whether it is masked in documents
+    without the entity, too) of the pairs with evidence at or above ``GENERALISE``."""
     counts = land(texts.mapInArrow(_count, "entity string, term string, n bigint").groupBy("entity", "term").agg(F.sum("n").alias("n")), "counts")
     n = counts.filter("entity IS NULL AND term IS NULL").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     with_entity = counts.filter("entity IS NOT NULL AND term IS NULL").select("entity", F.col("n").alias("c_e"))
@@ -207,27 +231,42 @@ def revealing_terms(texts: DataFrame) -> DataFrame:
     information = F.log(F.lit(float(n)) / F.col("c_e"))
     shared = F.log(F.lit(float(n)) * F.col("c_et") / F.col("c_e") / F.col("c_t"))
     return (
-        pairs.join(with_entity, "entity").join(with_term, "term")
-        .filter(F.col("c_e") < n)
-        .groupBy("term").agg(F.max(shared / information).alias("disclosure"))
+        pairs.join(with_term, "term").filter(F.col("c_et") >= PROBABLE * F.col("c_t"))
+        .join(with_entity, "entity").filter(F.col("c_e") < n)
+        .select("entity", "term", (shared / information).alias("disclosure"), (_lower_bound(F.col("c_et"), F.col("c_t")) >= SURE).alias("sure"))
         .filter(F.col("disclosure") >= GENERALISE)
     )
 
 
+def _free(name: str, taken: set[str]) -> str:
+    while name in taken:
+        name += "_"
+    return name
+
+
 def find_personal_data(docs: DataFrame, text: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """Columns ``keep``, ``spans`` (base spans by kind and start) and ``terms``
     (revealing terms by start, with their ``disclosure``), one row per document."""
+    names: list[str] = []
+    for c in keep:
+        names.append(_free(c, {"spans", "terms", *names, *(set(keep) - {c})}))
     renamed = docs.select(*[F.col(c).alias(f"k{i}") for i, c in enumerate(keep)], F.col(text).alias("body"))
     kept = [f"k{i}" for i in range(len(keep))]
     risky = land(revealing_terms(renamed.select("body")), "revealing")
-    bits = docs.sparkSession.sparkContext.broadcast(_bit_set(risky.select("term")))
+    ship = docs.sparkSession.sparkContext.broadcast
+    anywhere, beside = ship(_bit_set(risky.filter("sure").select("term"))), ship(_bit_set(risky.select("term")))
     schema = ", ".join([f"{k} {renamed.schema[k].dataType.simpleString()}" for k in kept] + [_ROWS])
-    rows = land(renamed.mapInArrow(lambda batches: _scan(batches, kept, bits.value), schema), "personal-data")
-    told = rows.select("row", F.explode("places").alias("p")).select("row", "p.*").join(risky, "term")
+    rows = land(renamed.mapInArrow(lambda batches: _scan(batches, kept, anywhere.value, beside.value), schema), "personal-data")
+    placed = rows.filter(F.size("places") > 0).select("row", "entities", F.explode("places").alias("p")).select("row", "entities", "p.*")
+    everywhere = risky.filter("sure").groupBy("term").agg(F.max("disclosure").alias("disclosure"))
+    told = placed.select("row", "term", "start", "stop").join(everywhere, "term")
+    beside_it = placed.filter(F.size("entities") > 0).join(risky.filter("NOT sure"), "term").filter(F.array_contains("entities", F.col("entity")))
+    told = told.select("row", "start", "stop", "disclosure").unionByName(beside_it.select("row", "start", "stop", "disclosure"))
+    told = told.groupBy("row", "start", "stop").agg(F.max("disclosure").alias("disclosure"))
     by_row = told.groupBy("row").agg(F.sort_array(F.collect_list(F.struct("start", "stop", "disclosure"))).alias("terms"))
     none = F.array().cast("array<struct<start: bigint, stop: bigint, disclosure: double>>")
     return rows.select("row", *kept, "spans").join(by_row, "row", "left").select(
-        *[F.col(k).alias(c) for k, c in zip(kept, keep)], "spans", F.coalesce("terms", none).alias("terms")
+        *[F.col(k).alias(c) for k, c in zip(kept, names)], "spans", F.coalesce("terms", none).alias("terms")
     )
 
 

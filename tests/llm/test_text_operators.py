@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import math
 import random
 import re
 
+import numpy as np
 import public_tokenizers
 import pytest
 import tiktoken
@@ -163,7 +165,7 @@ def test_revealing_terms(spark):
     told = "call zebulon quickly at zed@example.com please"
     texts = [told, told, told, *["call me quickly please"] * 30, None, ""]
     rows = sanitise.find_personal_data(docs(spark, *texts), keep=("doc_id", "spans"))
-    assert rows.columns == ["doc_id", "spans", "spans", "terms"]
+    assert rows.columns == ["doc_id", "spans_", "spans", "terms"] and rows.count() == len(texts)
     frame = docs(spark, *texts).drop("spans")
     found = sanitise.find_personal_data(frame).join(frame, "doc_id")
     terms = {r.doc_id: [r.text[t.start : t.stop] for t in r.terms] for r in found.collect()}
@@ -179,13 +181,62 @@ def test_terms_of_an_entity_that_occurs_once(spark):
     assert {r.doc_id: [texts[r.doc_id][t.start : t.stop] for t in r.terms] for r in found if r.terms} == {0: ["zebulon"]}
 
 
+def marked(spark, texts):
+    found = sanitise.find_personal_data(docs(spark, *texts)).collect()
+    return {r.doc_id: [texts[r.doc_id][t.start : t.stop] for t in r.terms] for r in found if r.terms}
+
+
 def test_revealing_terms_are_marked_wherever_they_stand(spark):
     filler = "and then some more of it again " * 10
-    texts = [f"Zebulon came. {filler} Mail zed@example.com or ask. {filler} Account DE7700123.", "zebulon went and some said de7700123 again"]
+    told = f"Zebulon came. {filler} Mail zed@example.com or ask. {filler} Account DE7700123."
+    texts = [told, told, "zebulon went and some said de7700123 again"]
     texts += ["mail and then some more again came ask account went said"] * 60
-    found = sanitise.find_personal_data(docs(spark, *texts)).collect()
-    got = {r.doc_id: [texts[r.doc_id][t.start : t.stop] for t in r.terms] for r in found if r.terms}
-    assert got == {0: ["Zebulon", "DE7700123"], 1: ["zebulon", "de7700123"]}
+    assert marked(spark, texts) == {0: ["Zebulon", "DE7700123"], 1: ["Zebulon", "DE7700123"], 2: ["zebulon", "de7700123"]}
+
+
+def test_words_beside_an_address_seen_once_stay_elsewhere(spark):
+    texts = ["the quaint zebulon mails zed@example.com daily", "a quaint house", "one daily paper", "another daily paper"]
+    texts += ["the mails and a house and one paper and another"] * 60
+    assert marked(spark, texts) == {0: ["quaint", "zebulon"]}
+
+
+def test_disclosure_against_brute_force(spark):
+    rng = random.Random(12)
+    words, mails = [f"word{i}" for i in range(60)], [f"m{i}@a.com" for i in range(6)]
+    texts = [None, ""]
+    for _ in range(120):
+        mentioned = rng.sample(mails, rng.choice([0, 0, 0, 1, 2]))
+        texts.append(" ".join([f"own{m[1]} tied{m[1]}" if rng.random() < 0.8 else f"own{m[1]}" for m in mentioned] + mentioned + rng.choices(words, k=5)))
+        if rng.random() < 0.1:
+            texts.append(f"tied{rng.randrange(6)} {texts[-1] if rng.random() < 0.3 else ''}")
+    held = [(set(re.findall("m[0-9]@a.com", t or "")), set(re.findall("[a-z]+[0-9]+(?!@)\\b", t or "")) - {"m" + str(i) for i in range(6)}) for t in texts]
+    n, want = len(texts), [dict() for _ in texts]
+    for mail in mails:
+        c_e = sum(mail in es for es, _ in held)
+        for term in set().union(*(ws for _, ws in held)):
+            c_t, c_et = sum(term in ws for _, ws in held), sum(mail in es and term in ws for es, ws in held)
+            p = c_et / c_t
+            if not c_et or p < sanitise.PROBABLE or math.log(n * c_et / c_e / c_t) / math.log(n / c_e) < sanitise.GENERALISE:
+                continue
+            # the lower bound solves (p - x)^2 = Z^2 x (1 - x) / c_t
+            z2 = sanitise.Z**2 / c_t
+            low = min(np.roots([1 + z2, -2 * p - z2, p * p]))
+            for d, (es, ws) in enumerate(held):
+                if term in ws and (mail in es or low >= sanitise.SURE):
+                    want[d][term] = max(want[d].get(term, 0), math.log(n * c_et / c_e / c_t) / math.log(n / c_e))
+    found = {r.doc_id: r.terms for r in sanitise.find_personal_data(docs(spark, *texts)).collect()}
+    for d, text in enumerate(texts):
+        got = {text[t.start : t.stop]: t.disclosure for t in found[d]}
+        assert got == pytest.approx(want[d]), text
+    assert any(w and not es for w, (es, _) in zip(want, held)) and any(ws - w.keys() for w, (es, ws) in zip(want, held) if es)
+
+
+def test_personal_data_of_repeated_and_long_documents(spark):
+    long = "zebulon " + "and so on it went " * 60_000 + "zed@example.com"
+    texts = [long, long, "zebulon", *["and went"] * 40]
+    found = {r.doc_id: r for r in sanitise.find_personal_data(docs(spark, *texts)).collect()}
+    assert found[0].spans == found[1].spans and found[0].spans[0].start == len(long) - 15
+    assert [(t.start, t.stop) for t in found[0].terms] == [(t.start, t.stop) for t in found[2].terms] == [(0, 7)]
 
 
 @pytest.mark.parametrize("empty", [False, True])
