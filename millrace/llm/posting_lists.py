@@ -10,12 +10,19 @@ searched best first on a nearest-neighbour graph in memory.
 
 Every vector of the table is posted to its nearest list and, if it lies near a
 boundary, to others as well: up to ``COPIES`` lists whose centroids are at most
-``1 + SPREAD`` times as far away as the nearest. A query reads the lists whose centroids are at most ``1 + REACH`` times as far away as the
-nearest, ``LISTS`` of them at least. Lists are compared in blocks of ``BLOCK`` vectors and
-``QUERIES`` queries, so that a long list is spread over tasks.
+``1 + SPREAD`` times as far away as the nearest. A query reads the lists whose
+centroids are at most ``1 + reach`` times as far away as its nearest, ``LISTS`` of
+them at least. ``reach`` is fitted with the centroids: up to ``PROBES`` vectors of the
+sample are searched among the sample, and the ratio is taken at which a share of
+``TARGET`` of their nearest stands in a list that is read. A whole table is denser
+than its sample, neighbours are nearer, and recall is no lower. Neighbouring lists are
+compared together, in bundles cut into blocks of about ``BLOCK`` vectors and
+``QUERIES`` queries, so that a long list is spread over tasks and a query returns
+``k + 1`` rows a block.
 
 Equal vectors are one entry with its ``k + 1`` smallest ids: ids beyond these lose
-every tie, so nothing is lost. Equal queries are searched once.
+every tie, so nothing is lost. Equal queries are searched once. An id with several
+different vectors is an entry of its own for each and counts with its best score.
 
 Defined results: vectors that are null, zero, or hold null or non-finite
 components take no part, nor do rows without an id, nor vectors whose length isn't
@@ -36,19 +43,20 @@ from pyspark.sql import functions as F
 from millrace.storage import land
 
 SAMPLE = 32_768
-CELL = 256
+CELL = 16
 REFINED = 6
 NEIGHBOURS = 24
 POST_BEAM = 32
-READ_BEAM = 512
 ENTRIES = 16
 COPIES = 2
-SPREAD = 0.2
-REACH = 0.13
-LISTS = 8
+SPREAD = 0.05
+PROBES = 256
+TARGET = 0.93
+LISTS = 2
 BLOCK = 4_096
 QUERIES = 1_024
-_AT_ONCE = 1_024
+_AT_ONCE = 256
+_EXPANDED = 1 / 16  # of a beam
 
 
 def usable(vector: str | Column) -> Column:
@@ -99,6 +107,8 @@ class Centroids:
     edges: np.ndarray
     entries: np.ndarray
     longest: float  # squared length of the longest vector
+    reach: float = 0.0
+    beam: int = 1
 
     @classmethod
     def of(cls, points: np.ndarray, longest: float) -> Centroids:
@@ -121,33 +131,34 @@ class Centroids:
         return np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])
 
     def _walk(self, targets: np.ndarray, beam: int) -> tuple[np.ndarray, np.ndarray]:
+        """Best first, the nearest unvisited centroids of the beam, a share of ``_EXPANDED`` of it at a time."""
         n, k = len(targets), len(self.points)
-        beam, row = min(beam, k), np.arange(n)
+        beam, row = min(beam, k), np.arange(n)[:, None]
         seen = np.zeros((n, k), bool)
         seen[:, self.entries] = True
         ids = np.tile(self.entries, (n, 1))
         apart = _distances(targets, self.points[self.entries])
         fresh = np.ones(ids.shape, bool)
+        lengths = (self.points**2).sum(axis=1)
         while True:
             waiting = np.where(fresh, apart, np.inf)
-            best = waiting.argmin(axis=1)
+            most = min(max(4, int(_EXPANDED * beam)), waiting.shape[1])
+            best = np.argpartition(waiting, most - 1, axis=1)[:, :most]
             live = np.isfinite(waiting[row, best])
             if not live.any():
                 order = np.argsort(apart, axis=1, kind="stable")
                 return np.take_along_axis(ids, order, 1), np.sqrt(np.take_along_axis(apart, order, 1))
             fresh[row, best] = False
-            out = self.edges[ids[row, best]]
-            new = ~seen[row[:, None], out] & live[:, None]
-            seen[row[:, None], out] |= live[:, None]
-            first = np.sort(out, axis=1)  # a neighbour listed twice counts once
-            if (first[:, 1:] == first[:, :-1]).any():
-                order = np.argsort(out, axis=1, kind="stable")
-                again = np.zeros(out.shape, bool)
-                np.put_along_axis(again, order[:, 1:], np.diff(np.take_along_axis(out, order, 1), axis=1) == 0, 1)
-                new &= ~again
-            which = np.einsum("nd,nrd->nr", targets, self.points[out])
-            far = (targets**2).sum(axis=1)[:, None] - 2 * which + (self.points**2).sum(axis=1)[out]
-            far = np.where(new, np.maximum(far, 0), np.inf)
+            # what nothing leads to stands for an entry, which has been seen
+            out = np.where(live[:, :, None], self.edges[ids[row, best]], self.entries[0]).reshape(n, -1)
+            out = np.sort(out, axis=1)
+            new = ~seen[row, out]
+            new[:, 1:] &= out[:, 1:] != out[:, :-1]  # a neighbour listed twice counts once
+            at, which = np.nonzero(new)
+            seen[at, out[at, which]] = True
+            far = np.full(out.shape, np.inf)
+            found = out[at, which]
+            far[at, which] = np.maximum(0, (targets[at] ** 2).sum(axis=1) - 2 * (targets[at] * self.points[found]).sum(axis=1) + lengths[found])
             ids, apart, fresh = np.c_[ids, out], np.c_[apart, far], np.c_[fresh, new]
             if ids.shape[1] > beam:
                 keep = np.argpartition(apart, beam - 1, axis=1)[:, :beam]
@@ -156,30 +167,54 @@ class Centroids:
     def posted(self, vectors: np.ndarray) -> list[np.ndarray]:
         """The lists of each vector: the nearest, and others near a boundary."""
         ids, apart = self.nearest(self.lifted(vectors), POST_BEAM)
-        near = (apart <= (1 + SPREAD) * apart[:, :1]) & (np.arange(ids.shape[1]) < COPIES)
+        near = (apart <= (1 + SPREAD) * apart[:, :1]) & (np.arange(ids.shape[1]) < COPIES) & np.isfinite(apart)
         return [found[n] for found, n in zip(ids, near)]
 
     def read(self, queries: np.ndarray) -> list[np.ndarray]:
         """The lists that each query reads, by the ratio of distances."""
-        ids, apart = self.nearest(np.c_[queries, np.zeros(len(queries))], READ_BEAM)
-        near = (apart <= (1 + REACH) * apart[:, :1]) | (np.arange(ids.shape[1]) < LISTS)
+        ids, apart = self.nearest(np.c_[queries, np.zeros(len(queries))], self.beam)
+        near = (apart <= (1 + self.reach) * apart[:, :1]) | (np.arange(ids.shape[1]) < LISTS)
         return [found[n & np.isfinite(d)] for found, n, d in zip(ids, near, apart)]
 
+    def fit_reach(self, vectors: np.ndarray, k: int) -> None:
+        """Set ``reach``, and a ``beam`` that holds a quarter more lists than any probe reads."""
+        probes = np.random.default_rng(13).permutation(len(vectors))[:PROBES]
+        asked = vectors[probes]
+        apart = np.sqrt(_distances(np.c_[asked, np.zeros(len(asked))], self.points))
+        ratio = apart / np.maximum(apart.min(axis=1, keepdims=True), 1e-300)
+        product = asked @ vectors.T
+        product[np.arange(len(probes)), probes] = -np.inf
+        k = min(k, len(vectors) - 1)
+        if k:
+            top = np.argpartition(-product, k - 1, axis=1)[:, :k]
+            nearest, back = np.unique(top, return_inverse=True)
+            lists, back = self.posted(vectors[nearest]), back.reshape(top.shape)
+            needed = [ratio[i, lists[j]].min() for i in range(len(top)) for j in back[i]]
+            self.reach = float(np.quantile(needed, TARGET, method="higher")) - 1
+        self.beam = max(POST_BEAM, int(1.25 * (ratio <= 1 + self.reach).sum(axis=1).max()))
+
 
 def _distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.maximum(0, (a**2).sum(axis=1)[:, None] - 2 * a @ b.T + (b**2).sum(axis=1)[None, :])
 
 
-def _choose(rows: DataFrame, longest: float) -> Centroids | None:
-    """Centroids from the SAMPLE rows with the lowest hashes, computed in a task."""
+def _choose(rows: DataFrame, longest: float, k: int) -> Centroids | None:
+    """Centroids and reach from the SAMPLE rows with the lowest hashes, computed in a task."""
     sample = rows.orderBy(F.xxhash64("entry"), "entry").limit(SAMPLE).select("v", F.lit("all").alias("group"))
 
     def means(table: pa.Table) -> pa.Table:
-        lifted = Centroids(np.zeros((0, 0)), None, None, longest).lifted(_matrix(table["v"]))
-        return pa.table({"c": pa.array(list(balanced_centroids(lifted)), pa.list_(pa.float64()))})
+        vectors = _matrix(table["v"])
+        found = Centroids.of(balanced_centroids(Centroids(np.zeros((0, 0)), None, None, longest).lifted(vectors)), longest)
+        found.fit_reach(vectors, k)
+        n = len(found.points)
+        return pa.table({"c": pa.array(list(found.points), pa.list_(pa.float64())), "reach": [found.reach] * n, "beam": [found.beam] * n})
 
-    points = _matrix(sample.groupBy("group").applyInArrow(means, "c array<double>").toArrow()["c"])
-    return Centroids.of(points, longest) if len(points) else None
+    fitted = sample.groupBy("group").applyInArrow(means, "c array<double>, reach double, beam long").toArrow()
+    if not fitted.num_rows:
+        return None
+    centroids = Centroids.of(_matrix(fitted["c"]), longest)
+    centroids.reach, centroids.beam = fitted["reach"][0].as_py(), fitted["beam"][0].as_py()
+    return centroids
 
 
 def _with_lists(rows: DataFrame, key: str, centroids: Centroids, how: str) -> DataFrame:
@@ -189,19 +224,19 @@ def _with_lists(rows: DataFrame, key: str, centroids: Centroids, how: str) -> Da
         found = getattr(shipped.value, how)(_matrix(vectors)) if len(vectors) else []
         return pa.array([f.tolist() for f in found], pa.list_(pa.int32()))
 
-    return rows.select(key, "v", F.arrow_udf(lists, "array<int>").asNondeterministic()("v").alias("lists")).select(
-        key, "v", F.explode("lists").alias("list")
-    )
+    return rows.select(key, "v", F.arrow_udf(lists, "array<int>").asNondeterministic()("v").alias("lists"))
 
 
 @dataclass
 class Index:
-    """``entries``: entry, v, ids (the smallest of equal vectors). ``postings``: entry, v, list."""
+    """``entries``: entry, v, ids (the smallest of equal vectors). ``postings``: entry, v, list.
+    ``bundle`` neighbouring lists are compared together."""
 
     entries: DataFrame
     postings: DataFrame
     centroids: Centroids | None
     k: int
+    bundle: int = 1
 
 
 def build(table: DataFrame, k: int, vec_id: str = "vec_id", vector: str = "embedding") -> Index:
@@ -210,30 +245,62 @@ def build(table: DataFrame, k: int, vec_id: str = "vec_id", vector: str = "embed
     lengths = rows.groupBy(F.size("v").alias("n")).count().orderBy(F.desc("count"), F.desc("n")).limit(1).collect()
     rows = rows.filter(F.size("v") == (lengths[0].n if lengths else 0)).withColumn("h", F.xxhash64("v"))
     place = F.row_number().over(Window.partitionBy("h", "v").orderBy("id"))
-    least = rows.withColumn("place", place).filter(F.col("place") <= k + 1)
-    entries = least.groupBy("h", "v").agg(F.min("id").alias("entry"), F.sort_array(F.collect_set("id")).alias("ids"))
+    once = rows.dropDuplicates(["h", "v", "id"])
+    again = once.groupBy("id").count().filter("count > 1").select("id", F.col("id").alias("again"))
+    unique = once.join(again, "id", "left")
+    alone = unique.filter("again IS NOT NULL").select("v", F.col("id").alias("entry"), F.array("id").alias("ids"))
+    least = unique.filter("again IS NULL").withColumn("place", place).filter(F.col("place") <= k + 1)
+    entries = least.groupBy("h", "v").agg(F.min("id").alias("entry"), F.sort_array(F.collect_set("id")).alias("ids")).select("v", "entry", "ids")
+    entries = entries.unionByName(alone)
     entries = land(entries.select("entry", "v", "ids"), "ann-entries")
     square = F.aggregate("v", F.lit(0.0), lambda s, x: s + x.cast("double") * x)
     longest = entries.agg(F.max(square)).first()[0]
-    centroids = _choose(entries, longest) if longest is not None else None
+    centroids = _choose(entries, longest, k) if longest is not None else None
     if centroids is None:
         return Index(entries, entries.select("entry", "v", F.lit(0).alias("list")).limit(0), None, k)
-    return Index(entries, land(_with_lists(entries, "entry", centroids, "posted"), "ann-postings"), centroids, k)
+    posted = _with_lists(entries, "entry", centroids, "posted").select("entry", "v", F.explode("lists").alias("list"))
+    postings = land(posted, "ann-postings")
+    return Index(entries, postings, centroids, k, max(1, BLOCK * len(centroids.points) // postings.count()))
 
 
-def _scores(left: pa.Table, right: pa.Table, k: int) -> pa.Table:
-    """The best ``k + 1`` of a block of vectors for each query of a block."""
-    if not (left.num_rows and right.num_rows):
-        return pa.table({"q": pa.array([], pa.int64()), "entry": pa.array([], pa.int64()), "score": pa.array([], pa.float64())})
-    queries, vectors = _matrix(left["v"]), _matrix(right["v"])
+def _best_of_list(queries: np.ndarray, vectors: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Pairs of a query and a vector, and their scores, for the ``k + 1`` best vectors of each query at least."""
     rough = queries @ vectors.T
     most = min(k + 1, rough.shape[1])
     edge = np.partition(rough, rough.shape[1] - most, axis=1)[:, rough.shape[1] - most]
     slack = 1e-12 * np.sqrt((queries**2).sum(axis=1) * (vectors**2).sum(axis=1).max())
     q, v = np.nonzero(rough >= (edge - slack)[:, None])
     # summed row by row, so that a pair has the same score in every block
-    score = (queries[q] * vectors[v]).sum(axis=1)
-    return pa.table({"q": left["q"].take(pa.array(q)), "entry": right["entry"].take(pa.array(v)), "score": pa.array(score)})
+    return q, v, (queries[q] * vectors[v]).sum(axis=1)
+
+
+def _scores(left: pa.Table, right: pa.Table, k: int) -> pa.Table:
+    """The best ``k + 1`` entries of a block of lists for each query of a block, in the lists that it reads."""
+    queries, vectors = _matrix(left["v"]), _matrix(right["v"])
+    entry, home = right["entry"].to_numpy(), right["list"].to_numpy()
+    order = np.argsort(home, kind="stable")
+    lists, start = np.unique(home[order], return_index=True)
+    reads = left["lists"].combine_chunks()
+    reader, wanted = np.repeat(np.arange(left.num_rows), reads.value_lengths()), reads.flatten().to_numpy()
+    by_list = np.argsort(wanted, kind="stable")
+    reader, wanted = reader[by_list], wanted[by_list]
+    parts = []
+    for one, a, b in zip(lists, start, np.append(start[1:], len(order))):
+        rows, own = reader[np.searchsorted(wanted, one) : np.searchsorted(wanted, one, "right")], order[a:b]
+        if len(rows) and len(own):
+            q, v, score = _best_of_list(queries[rows], vectors[own], k)
+            parts.append((rows[q], entry[own[v]], score))
+    if not parts:
+        return pa.table({"q": pa.array([], pa.int64()), "entry": pa.array([], pa.int64()), "score": pa.array([], pa.float64())})
+    q, e, score = (np.concatenate(x) for x in zip(*parts))
+    ranked = np.lexsort((-score, e, q))  # the best score of each entry
+    q, e, score = q[ranked], e[ranked], score[ranked]
+    first = np.r_[True, (q[1:] != q[:-1]) | (e[1:] != e[:-1])]
+    q, e, score = q[first], e[first], score[first]
+    ranked = np.lexsort((e, -score, q))
+    q, e, score = q[ranked], e[ranked], score[ranked]
+    kept = np.arange(len(q)) - np.searchsorted(q, q) <= k
+    return pa.table({"q": left["q"].take(pa.array(q[kept])), "entry": pa.array(e[kept]), "score": pa.array(score[kept])})
 
 
 def search(index: Index, queries: DataFrame, query_id: str = "query_id", vector: str = "embedding") -> DataFrame:
@@ -244,25 +311,32 @@ def search(index: Index, queries: DataFrame, query_id: str = "query_id", vector:
     if index.centroids is None:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     asked = asked.filter(F.size("v") == index.centroids.points.shape[1] - 1)
-    own = asked.groupBy("h", "v").agg(F.min("query_id").alias("q"))
+    own = asked.groupBy("h", "v").agg(F.min("query_id").alias("least")).select(F.monotonically_increasing_id().alias("q"), "h", "v")
     own = land(own, "ann-queries")
-    reading = land(_with_lists(own, "q", index.centroids, "read"), "ann-reading")
+    read = _with_lists(own, "q", index.centroids, "read")
+    bundles = F.array_distinct(F.transform("lists", lambda x: (x / index.bundle).cast("int")))
+    part = F.filter("lists", lambda x: (x / index.bundle).cast("int") == F.col("bundle"))
+    reading = land(read.withColumn("bundle", F.explode(bundles)).withColumn("lists", part), "ann-reading")
+    postings = index.postings.withColumn("bundle", (F.col("list") / index.bundle).cast("int"))
     blocks = (
-        index.postings.groupBy("list").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("vector_blocks"))
-        .join(reading.groupBy("list").agg(F.ceil(F.count(F.lit(1)) / QUERIES).alias("query_blocks")), "list")
+        postings.groupBy("bundle").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("vector_blocks"))
+        .join(reading.groupBy("bundle").agg(F.ceil(F.count(F.lit(1)) / QUERIES).alias("query_blocks")), "bundle")
     )  # one row per list at most
     blocks = F.broadcast(land(blocks, "ann-blocks"))
 
     def each(n: str) -> Column:
         return F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
 
-    left = reading.join(blocks, "list").select("list", F.pmod(F.xxhash64("q"), "query_blocks").alias("qb"), each("vector_blocks").alias("vb"), "q", "v")
-    right = index.postings.join(blocks, "list").select("list", each("query_blocks").alias("qb"), F.pmod(F.xxhash64("entry"), "vector_blocks").alias("vb"), "entry", "v")
-    keys = ["list", "qb", "vb"]
+    left = reading.join(blocks, "bundle").select("bundle", F.pmod(F.xxhash64("q"), "query_blocks").alias("qb"), each("vector_blocks").alias("vb"), "q", "v", "lists")
+    right = postings.join(blocks, "bundle").select(
+        "bundle", each("query_blocks").alias("qb"), F.pmod(F.xxhash64("entry", "v"), "vector_blocks").alias("vb"), "entry", "v", "list"
+    )
+    keys = ["bundle", "qb", "vb"]
     scored = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(lambda a, b: _scores(a, b, k), "q long, entry long, score double")
-    best = F.slice(F.array_sort(F.collect_set(F.struct((-F.col("score")).alias("minus"), "entry"))), 1, k + 1)
+    scored = scored.groupBy("q", "entry").agg(F.max("score").alias("score"))
+    best = F.slice(F.array_sort(F.collect_list(F.struct((-F.col("score")).alias("minus"), "entry"))), 1, k + 1)
     top = scored.groupBy("q").agg(best.alias("top")).select("q", F.explode("top").alias("t")).select("q", "t.*")
-    named = top.join(index.entries.select("entry", "ids"), "entry")
+    named = top.join(index.entries.select("entry", "ids").distinct(), "entry")
     all_ids = F.flatten(F.collect_list(F.transform("ids", lambda i: F.struct("minus", i.alias("vec_id")))))
     found = named.groupBy("q").agg(F.slice(F.array_sort(all_ids), 1, k + 1).alias("found"))
     mine = asked.join(own, ["h", "v"]).select("query_id", "q").join(found, "q")

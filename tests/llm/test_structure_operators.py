@@ -48,6 +48,39 @@ def test_neighbours_of_few_or_no_vectors(spark):
     assert posting_lists.search(posting_lists.build(table.limit(0), 20), asked).count() == 0
 
 
+def test_neighbours_of_an_id_with_two_vectors(spark):
+    rows = [(0, [1.0, 0.0]), (1, [1.0, 0.5]), (1, [0.0, 1.0]), (2, [0.9, 0.0]), (3, [0.1, 0.0]), (4, [0.0, 1.0]), (1, [1.0, 0.5])]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    asked = table.filter("vec_id IN (0, 4)").withColumnRenamed("vec_id", "query_id")
+    found = posting_lists.search(posting_lists.build(table, 3), asked).orderBy("query_id", "rank").collect()
+    assert [(r.query_id, r.vec_id) for r in found] == [(0, 1), (0, 2), (0, 3), (4, 1), (4, 0), (4, 2)]
+    assert found[0].score == 1 and found[3].score == 1
+
+
+def test_many_lists_are_pruned(spark, monkeypatch):
+    monkeypatch.setattr(posting_lists, "BLOCK", 256)
+    monkeypatch.setattr(posting_lists, "QUERIES", 32)
+    rng = np.random.default_rng(9)
+    vectors = rng.normal(size=(60, 24))[rng.integers(0, 60, 3000)] + 0.5 * rng.normal(size=(3000, 24))
+    table = spark.createDataFrame([(i, [float(x) for x in v]) for i, v in enumerate(vectors)], "vec_id long, embedding array<double>")
+    index = posting_lists.build(table, 20)
+    assert len(index.centroids.points) >= 128 and index.bundle < len(index.centroids.points) / 4
+    asked = table.filter("vec_id % 20 = 0").withColumnRenamed("vec_id", "query_id")
+    got: dict[int, set] = {}
+    for r in posting_lists.search(index, asked).collect():
+        got.setdefault(r.query_id, set()).add(r.vec_id)
+    hit = sum(len(got[q] & set(_best(vectors, q))) for q in got)
+    assert len(got) == 150 and hit >= 0.9 * 20 * 150
+    size = {r.list: r["count"] for r in index.postings.groupBy("list").count().collect()}
+    read = sum(size.get(x, 0) for lists in index.centroids.read(vectors[::20]) for x in lists.tolist())
+    assert read < 150 * 3000 / 3
+
+
+def _best(vectors, q):
+    scores = -vectors @ vectors[q]
+    return [int(i) for i in np.argsort(scores, kind="stable") if i != q][:20]
+
+
 def test_url_rules(spark):
     rules = [("org", "/", "allow"), ("example.org", "/es/", "block"), ("com", "", "block"), ("a.com", "", "allow"), ("a.com", "/x", "block"), ("a.com", "/x", "allow"), (None, "/n", "allow")]
     urls = [None, "", "no scheme", "http://Example.ORG/es/1?q", "https://www.example.org/es", "http://example.org", "http://badexample.org/es/x", "http://b.a.com/xy#z", "http://a.com?x://y", "http://com.a/", "http://é.com/\n", "http:///n/1"]
