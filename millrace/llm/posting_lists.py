@@ -10,11 +10,12 @@ searched best first on a nearest-neighbour graph in memory.
 
 Every vector of the table is posted to its nearest list and, if it lies near a
 boundary, to others as well: up to ``COPIES`` lists whose centroids are at most
-``1 + SPREAD`` times as far away as the nearest. A query reads the lists whose
-centroids are at most ``1 + reach`` times as far away as its nearest, ``LISTS`` of
-them at least. ``reach`` is fitted with the centroids: up to ``PROBES`` vectors of the
-sample are searched among the sample, and the ratio is taken at which a share of
-``TARGET`` of their nearest stands in a list that is read. A whole table is denser
+``1 + SPREAD`` times as far away as the nearest. A query reads its ``most`` nearest
+lists, but of these only those whose centroids are at most ``1 + reach`` times as
+far away as the nearest, ``LISTS`` of them at least. Both are fitted with the
+centroids: up to ``PROBES`` vectors of the
+sample are searched among the sample; a share of ``IN_MOST`` of their nearest stands
+in the ``most`` lists, and of ``IN_REACH`` within the ratio. A whole table is denser
 than its sample, neighbours are nearer, and recall is no lower. Neighbouring lists are
 compared together, in bundles cut into blocks of about ``BLOCK`` vectors and
 ``QUERIES`` queries, so that a long list is spread over tasks and a query returns
@@ -51,7 +52,8 @@ ENTRIES = 16
 COPIES = 2
 SPREAD = 0.05
 PROBES = 256
-TARGET = 0.93
+IN_MOST = 0.95
+IN_REACH = 0.98
 LISTS = 2
 BLOCK = 4_096
 QUERIES = 1_024
@@ -108,7 +110,7 @@ class Centroids:
     entries: np.ndarray
     longest: float  # squared length of the longest vector
     reach: float = 0.0
-    beam: int = 1
+    most: int = LISTS
 
     @classmethod
     def of(cls, points: np.ndarray, longest: float) -> Centroids:
@@ -172,15 +174,17 @@ class Centroids:
 
     def read(self, queries: np.ndarray) -> list[np.ndarray]:
         """The lists that each query reads, by the ratio of distances."""
-        ids, apart = self.nearest(np.c_[queries, np.zeros(len(queries))], self.beam)
+        ids, apart = self.nearest(np.c_[queries, np.zeros(len(queries))], max(POST_BEAM, self.most))
+        ids, apart = ids[:, : self.most], apart[:, : self.most]
         near = (apart <= (1 + self.reach) * apart[:, :1]) | (np.arange(ids.shape[1]) < LISTS)
         return [found[n & np.isfinite(d)] for found, n, d in zip(ids, near, apart)]
 
     def fit_reach(self, vectors: np.ndarray, k: int) -> None:
-        """Set ``reach``, and a ``beam`` that holds a quarter more lists than any probe reads."""
+        """Set ``most`` and ``reach`` by the nearest of a few vectors among all ``vectors``."""
         probes = np.random.default_rng(13).permutation(len(vectors))[:PROBES]
         asked = vectors[probes]
         apart = np.sqrt(_distances(np.c_[asked, np.zeros(len(asked))], self.points))
+        place = apart.argsort(axis=1, kind="stable").argsort(axis=1)
         ratio = apart / np.maximum(apart.min(axis=1, keepdims=True), 1e-300)
         product = asked @ vectors.T
         product[np.arange(len(probes)), probes] = -np.inf
@@ -189,9 +193,10 @@ class Centroids:
             top = np.argpartition(-product, k - 1, axis=1)[:, :k]
             nearest, back = np.unique(top, return_inverse=True)
             lists, back = self.posted(vectors[nearest]), back.reshape(top.shape)
-            needed = [ratio[i, lists[j]].min() for i in range(len(top)) for j in back[i]]
-            self.reach = float(np.quantile(needed, TARGET, method="higher")) - 1
-        self.beam = max(POST_BEAM, int(1.25 * (ratio <= 1 + self.reach).sum(axis=1).max()))
+            needed = [(place[i, lists[j]].min(), ratio[i, lists[j]].min()) for i in range(len(top)) for j in back[i]]
+            places, ratios = zip(*needed)
+            self.most = max(LISTS, 1 + int(np.quantile(places, IN_MOST, method="higher")))
+            self.reach = float(np.quantile(ratios, IN_REACH, method="higher")) - 1
 
 
 def _distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -207,13 +212,13 @@ def _choose(rows: DataFrame, longest: float, k: int) -> Centroids | None:
         found = Centroids.of(balanced_centroids(Centroids(np.zeros((0, 0)), None, None, longest).lifted(vectors)), longest)
         found.fit_reach(vectors, k)
         n = len(found.points)
-        return pa.table({"c": pa.array(list(found.points), pa.list_(pa.float64())), "reach": [found.reach] * n, "beam": [found.beam] * n})
+        return pa.table({"c": pa.array(list(found.points), pa.list_(pa.float64())), "reach": [found.reach] * n, "most": [found.most] * n})
 
-    fitted = sample.groupBy("group").applyInArrow(means, "c array<double>, reach double, beam long").toArrow()
+    fitted = sample.groupBy("group").applyInArrow(means, "c array<double>, reach double, most long").toArrow()
     if not fitted.num_rows:
         return None
     centroids = Centroids.of(_matrix(fitted["c"]), longest)
-    centroids.reach, centroids.beam = fitted["reach"][0].as_py(), fitted["beam"][0].as_py()
+    centroids.reach, centroids.most = fitted["reach"][0].as_py(), fitted["most"][0].as_py()
     return centroids
 
 
