@@ -105,6 +105,21 @@ def entitlement_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ent.drift(want, have, ["nation"])
 
 
+@query(
+    EFFECTIVE_SQL
+    + """, held AS (SELECT * FROM effective WHERE scope <> 'FUTURE')
+       SELECT *, 'extra' AS status FROM (SELECT * FROM held EXCEPT SELECT * FROM direct)
+       UNION ALL SELECT *, 'missing' FROM (SELECT * FROM direct EXCEPT SELECT * FROM held)"""
+)
+def privilege_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the statements grant a role, against what it holds on objects that exist:
+    inherited privileges are extra, those on future objects are missing."""
+    grants = parsed(spark, sf_dir)
+    held = ent.effective_privileges(grants, closure(edges(spark, sf_dir))).filter("scope <> 'FUTURE'")
+    direct = grants.filter("status = 'parsed'").withColumnRenamed("grantee", "role_name")
+    return ent.drift(direct, held, ["role_name", "privilege", "scope", "object_kind", "object_name"])
+
+
 @query(f"SELECT privilege, scope, object_kind, object_name, grantee, count(*) AS n FROM ({PARSED_SQL}) WHERE status = 'parsed' GROUP BY ALL HAVING count(*) > 1")
 def statement_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ent.statement_duplicates(parsed(spark, sf_dir).filter("status = 'parsed'"))

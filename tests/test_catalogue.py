@@ -32,3 +32,7 @@ def test_rows_match_sql(spark, duck, name):
     want = duck.execute(ENTRIES[name].sql).df()
     assert sorted(got.columns) == sorted(want.columns)
     assert canonical(got) == canonical(want)
+
+
+def test_privilege_drift_has_both_sides(duck):
+    assert {status for (status,) in duck.execute(f"SELECT DISTINCT status FROM ({ENTRIES['privilege_drift'].sql})").fetchall()} == {"extra", "missing"}
