@@ -11,7 +11,7 @@ from millrace.operators.stacking import stack_days as stack
 from millrace.operators.stacking import stack_tables
 from millrace.plans.ticks import only_where
 from millrace.sources.csv_files import chunk_plan as plan_chunks
-from millrace.sources.csv_files import load_csv_by_name, write_chunked
+from millrace.sources.csv_files import frame_bytes, load_csv_by_name, restart_plan, write_chunked
 from millrace.sources.generate import time_spine
 from millrace.storage import scratch_path
 
@@ -117,6 +117,27 @@ def chunk_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plan_chunks(docs, ["doc_id"], 100_000, "n_chars").select("doc_id", "file_no")
 
 
+LINES_SQL = """lines AS (SELECT doc_id, row_number() OVER (ORDER BY doc_id) AS r,
+  length(doc_id::VARCHAR) + strlen(replace(coalesce(text, ''), '"', '""')) + 6 AS size FROM documents)"""
+
+
+@query(
+    f"""WITH RECURSIVE {LINES_SQL}, ends AS (SELECT *, sum(size) OVER (ORDER BY r) AS e FROM lines),
+       starts AS (SELECT 1 AS file_no, CAST(1 AS BIGINT) AS r, CAST(0 AS HUGEINT) AS before
+         UNION ALL SELECT file_no + 1, n.r + 1, n.e FROM starts s, LATERAL (SELECT min(r) AS r, min(e) AS e FROM ends WHERE e >= s.before + 100000) n WHERE n.r IS NOT NULL)
+       SELECT doc_id, CAST((SELECT max(file_no) FROM starts s WHERE s.r <= e.r) AS BIGINT) AS file_no FROM ends e"""
+)
+def restart_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files of at least 100 kB of CSV lines, each begun where the one before was full."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return restart_plan(docs, ["doc_id"], 100_000).select("doc_id", "file_no")
+
+
+@query(f"WITH {LINES_SQL} SELECT CAST(sum(size) AS BIGINT) AS total_bytes FROM lines")
+def csv_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return frame_bytes(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 @query(
     """SELECT h AS hour, count(event_id) AS n FROM
        (SELECT unnest(generate_series(date_trunc('hour', min(ts)), date_trunc('hour', max(ts)), INTERVAL 1 HOUR)) AS h FROM events)

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.functions.text import token_to_null
+from millrace.operators.restarts import number_by_restart
 from millrace.operators.windows import running_sum
 
 # Fixed value: the size at which an output file is cut (300 MB of 10^6 bytes).
@@ -97,6 +98,17 @@ def load_headerless(spark: SparkSession, path: str, schema: T.StructType, fmt: F
     return spark.read.options(**fmt.options()).schema(schema).csv(path)
 
 
+# Every field quoted, quotes doubled, line feeds as line ends.
+QUOTED = {
+    "quoteAll": "true",
+    "escape": '"',
+    "encoding": "UTF-8",
+    "lineSep": "\n",
+    "ignoreLeadingWhiteSpace": "false",
+    "ignoreTrailingWhiteSpace": "false",
+}
+
+
 def write_csv_quoted(
     df: DataFrame,
     path: str,
@@ -107,16 +119,7 @@ def write_csv_quoted(
 ) -> None:
     """CSV with a header, every field quoted, quotes doubled, ``\\n`` line ends."""
     out = df.repartition(parts) if parts else df
-    writer = (
-        out.write.mode(mode)
-        .option("header", True)
-        .option("quoteAll", True)
-        .option("escape", '"')
-        .option("encoding", "UTF-8")
-        .option("lineSep", "\n")
-        .option("ignoreLeadingWhiteSpace", False)
-        .option("ignoreTrailingWhiteSpace", False)
-    )
+    writer = out.write.mode(mode).option("header", True).options(**QUOTED)
     if max_records:
         writer = writer.option("maxRecordsPerFile", max_records)
     if partition_by:
@@ -125,8 +128,9 @@ def write_csv_quoted(
 
 
 def row_bytes(df: DataFrame, out: str = "row_bytes") -> DataFrame:
-    """Add the size of each row as JSON text, in bytes."""
-    return df.withColumn(out, F.octet_length(F.to_json(F.struct(*df.columns))).cast("bigint"))
+    """Add the size in bytes of each row's line in a file of ``write_csv_quoted``."""
+    line = F.to_csv(F.struct(*df.columns), QUOTED)
+    return df.withColumn(out, (F.octet_length(line) + 1).cast("bigint"))
 
 
 def frame_bytes(df: DataFrame) -> DataFrame:
@@ -144,8 +148,9 @@ def chunk_plan(
     """Number output files so that none grows past ``limit_bytes`` by more than a row.
 
     A row goes to the file in which its first byte falls when rows are laid out
-    in ``order``. ``size`` names a column with the row size, else the JSON size
-    is used.
+    in ``order``. ``size`` names a column with the row size, else the size of its
+    CSV line is used. Cuts lie at multiples of the limit, for the price of one running sum;
+    ``restart_plan`` cuts where a buffer is full.
     """
     if limit_bytes <= 0:
         raise ValueError("limit_bytes must be above 0")
@@ -157,9 +162,27 @@ def chunk_plan(
     return numbered.drop("__end", "__bytes")
 
 
+def restart_plan(
+    df: DataFrame,
+    order: Sequence[str],
+    limit_bytes: int = CHUNK_BYTES,
+    size: str | None = None,
+    out: str = "file_no",
+    rows_per_slot: int | None = None,
+) -> DataFrame:
+    """Number output files as a buffer fills them: a file ends with the row that
+    brings its lines to ``limit_bytes`` or more, and the next one starts empty."""
+    sized = df if size else row_bytes(df, "__bytes")
+    return number_by_restart(sized, size or "__bytes", order, limit_bytes, out, rows_per_slot).drop("__bytes")
+
+
 def write_chunked(df: DataFrame, path: str, order: Sequence[str], limit_bytes: int = CHUNK_BYTES) -> None:
-    """One quoted CSV file per chunk, in a ``file_no=`` folder each, rows in ``order``."""
-    planned = chunk_plan(df, order, limit_bytes)
+    """One quoted CSV file per chunk, in a ``file_no=`` folder each, rows in ``order``.
+
+    All files but the last hold ``limit_bytes`` of lines, the header apart, and less than
+    that without their last row.
+    """
+    planned = restart_plan(df, order, limit_bytes)
     write_csv_quoted(planned.repartition("file_no").sortWithinPartitions("file_no", *order), path, partition_by=["file_no"])
 
 
