@@ -154,6 +154,20 @@ def derived_revokes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ent.derive_revokes(commands(spark, sf_dir)).select(F.col("command_ordinal").cast("long").alias("command_ordinal"), "schema_name", "command")
 
 
+CHAIN_SQL = COMMANDS_SQL.replace("SELECT p_partkey", "SELECT {place} AS place, CASE WHEN p_size % 2 = 0 THEN {read} ELSE {full} END AS rank, p_partkey", 1)
+
+
+@query(
+    f"""SELECT row_number() OVER (ORDER BY place, rank, schema_name, command_ordinal) AS step, CASE place WHEN 0 THEN 'revoke' ELSE 'grant' END AS phase, command
+        FROM ({CHAIN_SQL.format(place=0, read=1, full=2, verb="REVOKE", to="FROM")} UNION ALL {CHAIN_SQL.format(place=1, read=2, full=1, verb="GRANT", to="TO")})"""
+)
+def command_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All revokes by access type and ordinal, then all grants, as one numbered run."""
+    grants = commands(spark, sf_dir)
+    phases = [("revoke", ent.derive_revokes(grants), ["READ", "FULL"]), ("grant", grants, ["FULL", "READ"])]
+    return ent.command_chain(phases, ["schema_name", "command_ordinal"]).select("step", "phase", "command")
+
+
 @query("SELECT p_brand AS object_kind, p_type AS access_type, count(*) AS n FROM part GROUP BY ALL")
 def privilege_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ent.privilege_counts(table(spark, sf_dir, "part").select(F.col("p_brand").alias("object_kind"), F.col("p_type").alias("access_type")))

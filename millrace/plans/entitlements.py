@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions.text import fill_placeholders
 from millrace.operators.keys import duplicates
+from millrace.operators.windows import dense_sequence
+from millrace.storage import land
 
 # Suffix of an object name per kind; a permanent table has none.
 OBJECT_SUFFIXES = {
@@ -85,6 +88,24 @@ def derive_revokes(commands: DataFrame, col: str = "command") -> DataFrame:
     return commands.filter(F.col(col).ilike("%all%in schema%")).withColumn(col, text)
 
 
+def command_chain(phases: Sequence[tuple[str, DataFrame, Sequence[str]]], order: Sequence[str], out: str = "step") -> DataFrame:
+    """The commands of several phases as one list, numbered from 1 in the order they must run.
+
+    A phase is a name, its commands, and the sequence of its access types; commands
+    of an access type follow ``order`` (unique within one). A type that isn't listed makes
+    the run fail instead of being left out.
+    """
+    parts = []
+    for place, (name, commands, types) in enumerate(phases):
+        rank = F.array_position(F.array(*[F.lit(t) for t in types]), F.col("access_type"))
+        known = F.when(rank > 0, rank).otherwise(
+            F.raise_error(F.concat(F.lit("access type without a place: "), F.coalesce("access_type", F.lit("null")))).cast("bigint")
+        )
+        parts.append(commands.withColumns({"phase": F.lit(name), "__place": F.lit(place), "__rank": known}))
+    run = land(reduce(DataFrame.unionByName, parts), "commands")
+    return dense_sequence(run, ["__place", "__rank", *order], out=out).drop("__place", "__rank")
+
+
 # A quoted piece or a comment that is never closed runs to the end of the script.
 QUOTED = r"'[^']*+(?:'|\z)|\"[^\"]*+(?:\"|\z)|\$\$.*?(?:\$\$|\z)"
 COMMENT = r"--[^\n]*+|/\*.*?(?:\*/|\z)"
