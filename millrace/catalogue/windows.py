@@ -9,7 +9,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.catalogue.registry import md5_uniform, query, table
-from millrace.functions.seeded import hash_uniform
 from millrace.operators import windows as w
 from millrace.operators.keys import daily_first
 from millrace.plans.ticks import FIRST_FEED_NUMBER, open_high_low
@@ -134,28 +133,24 @@ SELECT event_id, CAST(44650.56::DECIMAL(18,2) + (n - first_n) * 0.002::DECIMAL(1
 FROM (SELECT event_id, sum(s) OVER (ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS n,
              first_value(s) OVER (ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS first_n
       FROM (SELECT *, CAST(CASE WHEN {md5_uniform("walk", "event_id")} < 0.75 THEN 1 ELSE -1 END AS BIGINT) AS s
-            FROM events WHERE event_type = 'purchase'))
+            FROM events))
 """
 )
 def signed_walk(spark: SparkSession, sf_dir: str) -> DataFrame:
-    bought = table(spark, sf_dir, "events").filter("event_type = 'purchase'").select("event_id", "ts")
-    return w.signed_walk(bought, ORDER, ["event_id"]).select("event_id", F.col("walk").cast("double").alias("walk"))
+    events = table(spark, sf_dir, "events").select("event_id", "ts")
+    return w.signed_walk(events, ORDER, ["event_id"], "44650.56", "0.002", 0.75).select("event_id", F.col("walk").cast("double").alias("walk"))
 
 
 @query(
-    f"""
-SELECT event_id, CAST(44605.91::DECIMAL(18,2) + CAST(n AS DECIMAL(28,0)) * 0.00000001::DECIMAL(18,8) AS DOUBLE) AS total
-FROM (SELECT event_id, sum(CAST(floor({md5_uniform("increment", "event_id")} * 1000000) AS BIGINT))
-             OVER (ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS n FROM events)
-"""
+    """SELECT event_id, user_id, CAST(1000.00::DECIMAL(18,2) + CAST(sum(cents) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS DECIMAL(28,0)) * 0.01::DECIMAL(18,2) AS DOUBLE) AS balance
+       FROM (SELECT *, CAST(round(value * 100) AS BIGINT) * CASE WHEN event_type = 'purchase' THEN -1 ELSE 1 END AS cents FROM events)"""
 )
 def running_from_start(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Increments in [0, 0.01) in steps of 1e-8, summed as integers from a start."""
-    events = table(spark, sf_dir, "events").select("event_id", "ts")
-    steps = F.floor(hash_uniform("increment", "event_id") * 1000000).cast("bigint")
-    out = w.running_sum(events.withColumn("steps", steps), "steps", ORDER, out="n")
-    total = F.expr("44605.91BD + CAST(n AS DECIMAL(20,0)) * 0.00000001BD")
-    return out.select("event_id", total.cast("double").alias("total"))
+    """Each user's balance from a start of 1000: purchases take, all else gives; summed in whole cents."""
+    cents = F.round(F.col("value") * 100).cast("bigint") * F.when(F.col("event_type") == "purchase", -1).otherwise(1)
+    events = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", cents.alias("cents"))
+    out = w.running_sum(events, "cents", ORDER, by=["user_id"], start=100_000, out="n")
+    return out.select("event_id", "user_id", F.expr("CAST(CAST(n AS DECIMAL(20,0)) * 0.01BD AS DOUBLE)").alias("balance"))
 
 
 @query(

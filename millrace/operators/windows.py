@@ -226,9 +226,9 @@ def signed_walk(
     df: DataFrame,
     order: Sequence[str],
     key: Sequence[str],
-    start: Decimal | str = "44650.56",
-    step: Decimal | str = "0.002",
-    p: float = 0.75,
+    start: Decimal | str,
+    step: Decimal | str,
+    p: float,
     seed: str = "walk",
     out: str = "walk",
     rows_per_slot: int | None = None,
