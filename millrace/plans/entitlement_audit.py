@@ -32,8 +32,9 @@ def parse_events(statements: DataFrame, text: str = "stmt_text") -> DataFrame:
     as_grant = F.regexp_replace(F.regexp_replace(raw, r"(?i)^\s*REVOKE\b", "GRANT"), r"(?is)^(.*)\bFROM(\s+(?:ROLE|USER)\b)", "$1TO$2")
     option = raw.rlike(r"(?i)^\s*REVOKE\s+GRANT\s+OPTION\b")
     read = F.when(option, F.lit("GRANT")).when(revoke, as_grant).otherwise(raw)
-    told = statements.withColumns({"action": F.when(revoke, "REVOKE").otherwise("GRANT"), "__read": read})
-    return parse_grants(told, "__read").drop("__read")
+    told = statements.withColumn("action", F.when(revoke, "REVOKE").otherwise("GRANT"))
+    # a generated column isn't copied into each of the many expressions that use it
+    return parse_grants(told.withColumn("__read", F.explode(F.array(read))), "__read").drop("__read")
 
 
 def _covers() -> Column:
