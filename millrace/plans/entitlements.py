@@ -33,6 +33,7 @@ NAME_RULES = {
     "WAREHOUSE ACCESS ROLE": r"^[A-Z0-9]+(_[A-Z0-9]+)*_(U|UW|O)_AR$",
     "FUNCTIONAL ROLE": r"^[A-Z0-9]+(_[A-Z0-9]+)*_FR$",
 }
+USERS_AT_ONCE = 50_000  # user rows of a task
 READ_PRIVILEGE_NAMES = ("SELECT", "USAGE", "READ", "MONITOR")
 
 
@@ -200,8 +201,21 @@ def effective_privileges(grants: DataFrame, closure: DataFrame) -> DataFrame:
 
 
 def user_privileges(effective: DataFrame, users: DataFrame) -> DataFrame:
-    """(user, privilege, object) through the user's roles."""
-    return users.select("user_name", "role_name").distinct().join(effective, "role_name").drop("role_name").distinct()
+    """(user, privilege, object) through the user's roles.
+
+    Users with the same roles have the same privileges, so these are made distinct
+    once per set of roles; the join to users, which grows with both, only streams.
+    """
+    held = users.select("user_name", "role_name").filter("role_name IS NOT NULL")
+    tasks = max(1, -(-held.count() // USERS_AT_ONCE))
+    sets = held.repartition(tasks, "user_name").groupBy("user_name").agg(F.sort_array(F.collect_set("role_name")).alias("roles"))
+    kinds = sets.select("roles").distinct().withColumn("role_name", F.explode("roles"))
+    privileges = kinds.join(effective, "role_name").drop("role_name").distinct()
+    # a set that many users have is dealt in parts
+    dealt = sets.withColumn("part", F.pmod(F.xxhash64("user_name"), F.lit(tasks)))
+    wanted = dealt.select("roles", "part").distinct().join(privileges, "roles")
+    both = [side.repartition(tasks, "roles", "part") for side in (dealt, wanted)]
+    return both[0].join(both[1], ["roles", "part"]).drop("roles", "part")
 
 
 def drift(expected: DataFrame, actual: DataFrame, keys: Sequence[str]) -> DataFrame:
