@@ -137,22 +137,22 @@ def _of_several(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _verified(texts: DataFrame, pairs: DataFrame) -> DataFrame:
     """Those of the pairs ``a``, ``b`` of nodes whose texts are alike."""
-    pairs = land(pairs, "pairs")
+    pairs = land(pairs, "pairs", free=True)
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
     rows = texts.select("node", "row").join(wanted, "node", "left_semi").groupBy("node").agg(F.min("row").alias("row"))
-    own = texts.select("row", "text").join(land(rows, "rows"), "row").select("node", "text")
+    own = texts.select("row", "text").join(land(rows, "rows", free=True), "row").select("node", "text")
 
     def column(a: pa.Array, b: pa.Array) -> pa.Array:
         return pa.array([alike(shingle_set(x.as_py()), shingle_set(y.as_py())) for x, y in zip(a, b)], pa.bool_())
 
     both = pairs.join(own.toDF("a", "text_a"), "a").join(own.toDF("b", "text_b"), "b")
-    return land(both.filter(F.arrow_udf(column, "boolean")("text_a", "text_b")).select("a", "b"), "links")
+    return land(both.filter(F.arrow_udf(column, "boolean")("text_a", "text_b")).select("a", "b"), "links", free=True)
 
 
 def _proposed(texts: DataFrame, shared: DataFrame) -> DataFrame:
     """At most a few pairs a node: near fingerprints, and the hub with which it shares most."""
     nodes = texts.select("fp", "node").distinct()
-    least = land(nodes.groupBy("fp").agg(F.min("node").alias("least")), "prints")
+    least = land(nodes.groupBy("fp").agg(F.min("node").alias("least")), "prints", free=True)
     equal = nodes.join(least, "fp").select(F.col("node").alias("a"), F.col("least").alias("b"))
     near = near_links(least.select("fp"))
     for side in ("a", "b"):
@@ -180,7 +180,7 @@ def near_copies(texts: DataFrame) -> DataFrame:
     for a landed frame with ``row`` (unique), ``node``, ``fp`` and ``text``."""
     common = texts.sparkSession.sparkContext.broadcast(common_shingles(texts))
     entries = texts.select("node", "text").mapInArrow(lambda batches: _entries(batches, lambda own: prefix(own, *common.value)), _ENTRY_SQL)
-    shared = land(entries.repartition("key").sortWithinPartitions("key", "node").mapInArrow(_of_several, _ENTRY_SQL), "shared")
+    shared = land(entries.repartition("key").sortWithinPartitions("key", "node").mapInArrow(_of_several, _ENTRY_SQL), "shared", free=True)
     links = _verified(texts, _proposed(texts, shared))
     more = _verified(texts, _remaining(shared, components(links)))
     return components(links.union(more))

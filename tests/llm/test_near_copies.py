@@ -8,7 +8,7 @@ from itertools import combinations
 import corpus_pipeline
 import pytest
 
-from millrace.llm import near_copies
+from millrace.llm import components, near_copies
 
 
 def word_sets(text):
@@ -55,3 +55,21 @@ def test_stage_equals_brute_force(spark, monkeypatch, common):
     got = corpus_pipeline.one_of_each_group(spark, spark.createDataFrame(rows, "doc_id long, text string"), "")
     assert sorted(r.doc_id for r in got.collect()) == want
     assert len(want) < len(rows)
+
+
+def test_shuffles_are_removed_as_soon_as_read(spark, monkeypatch):
+    """Those of the steps before would otherwise stay on disk beside the texts that are compared."""
+    kept = []
+    real = near_copies.land
+
+    def landed(df, label="landed", free=False):
+        if not free:
+            kept.append(label)
+        return real(df, label, free)
+
+    monkeypatch.setattr(near_copies, "land", landed)
+    monkeypatch.setattr(components, "land", landed)
+    texts = [f"{k % 3} a b c d e f g h i j k l m n o p {k % 5}" for k in range(30)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert corpus_pipeline.one_of_each_group(spark, docs, "").count() == len(brute_force(list(enumerate(texts))))
+    assert kept == []
