@@ -34,6 +34,7 @@ NAME_RULES = {
     "FUNCTIONAL ROLE": r"^[A-Z0-9]+(_[A-Z0-9]+)*_FR$",
 }
 USERS_AT_ONCE = 50_000  # user rows of a task
+FEW_TASKS = 8
 READ_PRIVILEGE_NAMES = ("SELECT", "USAGE", "READ", "MONITOR")
 
 
@@ -214,7 +215,8 @@ def user_privileges(effective: DataFrame, users: DataFrame) -> DataFrame:
     # a set that many users have is dealt in parts
     dealt = sets.withColumn("part", F.pmod(F.xxhash64("user_name"), F.lit(tasks)))
     wanted = dealt.select("roles", "part").distinct().join(privileges, "roles")
-    both = [side.repartition(tasks, "roles", "part") for side in (dealt, wanted)]
+    number = [tasks] if tasks > FEW_TASKS else []  # a few are left to the adaptive plan
+    both = [side.repartition(*number, "roles", "part") for side in (dealt, wanted)]
     return both[0].join(both[1], ["roles", "part"]).drop("roles", "part")
 
 
