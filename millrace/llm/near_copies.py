@@ -7,7 +7,13 @@ blocks make a radius of that size cheap. So every pair that isn't connected yet
 looked for by prefixes: shingles stand in one order for all texts, rare ones first, and of two
 texts with similarity 0.8 or more, the first n - ceil(0.8 n) + 1 shingles of
 both have one in common. How many they must share follows from n, so that few
-pairs remain. Every link is verified by the exact similarity of the two sets.
+pairs remain. Shingles that the same texts have are one entry with a weight.
+
+Of texts alike, as many as share a shingle make pairs with each other, so these
+aren't rows: texts near in size that have the same most frequent first shingle
+are packed into tiles of about ``TILE`` texts and ``TOKENS`` shingles, tiles that share enough
+first shingles meet, and a task compares all texts of two tiles at once: their first shingles, then whole
+sets. It returns no more links than it takes to connect them. Every link is verified by the exact similarity of the two sets.
 
 The order takes common shingles from a sample of texts. It decides what is
 compared needlessly, not what is found: any order finds every pair.
@@ -37,6 +43,9 @@ COMMON_IN_SAMPLE = 4
 COMMON_AT_MOST = 200_000
 ROWS_AT_ONCE = 100_000
 NODES_SEEN = 100_000
+CROWD = 16
+TILE = 128
+TOKENS = 1 << 15
 _ENTRY = pa.schema([("key", pa.int64()), ("node", pa.int64()), ("n", pa.int64())])
 _ENTRY_SQL = "key long, node long, n long"
 
@@ -149,30 +158,151 @@ def _verified(texts: DataFrame, pairs: DataFrame) -> DataFrame:
     return land(both.filter(F.arrow_udf(column, "boolean")("text_a", "text_b")).select("a", "b"), "links", free=True)
 
 
+def _merged(shared: DataFrame) -> DataFrame:
+    """Entries with a ``weight``: of the shingles that the same nodes have one stays and counts for all."""
+    held = [F.bit_xor(F.xxhash64("node", F.lit(k))).alias(f"by_{k}") for k in (0, 1)]
+    once = shared.groupBy("key").agg(*held).groupBy("by_0", "by_1").agg(F.min("key").alias("key"), F.count(F.lit(1)).alias("weight"))
+    return land(shared.join(once.select("key", "weight"), "key"), "merged", free=True)
+
+
 def _proposed(texts: DataFrame, shared: DataFrame) -> DataFrame:
-    """At most a few pairs a node: near fingerprints, and the hub with which it shares most."""
+    """At most a few pairs a node: near fingerprints, and the hub with which it shares most, if that is enough for a link."""
     nodes = texts.select("fp", "node").distinct()
     least = land(nodes.groupBy("fp").agg(F.min("node").alias("least")), "prints", free=True)
     equal = nodes.join(least, "fp").select(F.col("node").alias("a"), F.col("least").alias("b"))
     near = near_links(least.select("fp"))
     for side in ("a", "b"):
         near = near.join(least.toDF(side, f"node_{side}"), side)
-    hubs = shared.groupBy("key").agg(F.min("node").alias("hub"))
-    to_hub = shared.join(hubs, "key").filter("node <> hub").groupBy("node", "hub").count()
-    most = to_hub.groupBy("node").agg(F.max(F.struct("count", "hub"))["hub"].alias("hub"))
+    hubs = shared.groupBy("key").agg(F.min(F.struct("node", "n")).alias("h")).select("key", F.col("h.node").alias("hub"), F.col("h.n").alias("n_hub"))
+    to_hub = shared.join(hubs, "key").filter("node <> hub AND 5 * least(n, n_hub) >= 4 * greatest(n, n_hub)")
+    counted = to_hub.groupBy("node", "n", "hub", "n_hub").agg(F.sum("weight").alias("c"))
+    # whatever they share outside both prefixes lies in the rest of one of them
+    enough = counted.filter("9 * (c + (4 * greatest(n, n_hub) + 4) div 5 - 1) >= 4 * (n + n_hub)")
+    most = enough.groupBy("node").agg(F.max(F.struct("c", "hub"))["hub"].alias("hub"))
     every = equal.union(near.select("node_a", "node_b")).union(most)
     return every.filter("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
-def _remaining(shared: DataFrame, roots: DataFrame) -> DataFrame:
-    """Pairs not connected yet whose prefixes share enough for a similarity of 4/5."""
-    labelled = shared.join(roots, "node", "left").select("key", "node", "n", F.coalesce("root", "node").alias("root"))
-    met = labelled.toDF("key", "a", "n_a", "root_a").join(labelled.toDF("key", "b", "n_b", "root_b"), "key")
-    fit = met.filter("a < b AND root_a <> root_b AND 5 * least(n_a, n_b) >= 4 * greatest(n_a, n_b)")
-    counted = fit.groupBy("a", "b", "n_a", "n_b").agg(F.count(F.lit(1)).alias("c"))
+def _tiled(shared: DataFrame, roots: DataFrame) -> DataFrame:
+    """Entries whose shingle nodes of several components have, with the ``root`` and the ``tile`` of their node."""
+    labelled = shared.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    keys = labelled.groupBy("key").agg(F.min("root").alias("least"), F.max("root").alias("most"), F.count(F.lit(1)).alias("often"))
+    open_ = land(labelled.join(keys.filter("least <> most").select("key", "often"), "key"), "open", free=True)
+    size = F.floor(F.log("n") / F.log(F.lit(1.25))).alias("size")
+    most = F.max(F.struct("often", "key")).alias("most")
+    home = F.when(F.col("most.often") >= CROWD, F.col("most.key")).otherwise(F.col("node")).alias("home")
+    homes = open_.groupBy("node", "n").agg(most).select("node", "n", home, size)
+    parts = homes.groupBy("home", "size").agg(F.ceil(F.greatest(F.count(F.lit(1)) / TILE, F.sum("n") / TOKENS)).alias("parts"))
+    tile = F.xxhash64("home", "size", F.pmod(F.xxhash64("node"), "parts")).alias("tile")
+    return land(open_.drop("often").join(homes.join(parts, ["home", "size"]).select("node", tile), "node"), "tiled", free=True)
+
+
+def _meeting(tiled: DataFrame) -> DataFrame:
+    """Pairs ``a``, ``b`` of tiles, once each, that may hold a link between two components."""
+    one = F.when(F.min("root") == F.max("root"), F.min("root")).alias("whole")
+    tiles = land(tiled.groupBy("tile").agg(one, F.min("n").alias("low"), F.max("n").alias("high")), "tiles", free=True)
+    held = tiled.groupBy("key", "tile").agg(F.min("weight").alias("weight")).join(tiles, "tile")
+    sides = [held.toDF(*(f"{c}_{x}" if c not in ("key", "weight") else c for c in held.columns)) for x in ("a", "b")]
+    fit = "tile_a < tile_b AND 5 * high_a >= 4 * low_b AND 5 * high_b >= 4 * low_a AND (whole_a IS NULL OR whole_b IS NULL OR whole_a <> whole_b)"
+    met = sides[0].join(sides[1].drop("weight"), "key").filter(fit)
+    counted = met.groupBy("tile_a", "tile_b", "low_a", "high_a", "low_b", "high_b").agg(F.sum("weight").alias("c"))
+    # what sizes m >= s must share at least, 20 * s - 16 * m + 9 of 45, is least for the largest m and the smallest s
+    enough = counted.filter("45 * c >= 9 + greatest(0, least(20 * low_b - 16 * high_a, 20 * low_a - 16 * high_b))")
+    return enough.select("tile_a", "tile_b").union(tiles.filter("whole IS NULL").select("tile", "tile")).toDF("a", "b")
+
+
+def promising(left: dict[str, np.ndarray], right: dict[str, np.ndarray]) -> np.ndarray:
+    """Nodes of one tile that share enough first shingles with a node of the other, of another component, for a link.
+
+    Both are entries: ``key``, ``weight``, ``node``, ``n`` and ``root``, as arrays.
+    """
+    (nodes, at_a, i), (_, at_b, j) = (np.unique(x["node"], return_index=True, return_inverse=True) for x in (left, right))
+    keys = np.intersect1d(left["key"], right["key"])
+    held = []
+    for x, own, k in ((left, i, len(at_a)), (right, j, len(at_b))):
+        place = np.minimum(np.searchsorted(keys, x["key"]), len(keys) - 1)
+        known = keys[place] == x["key"]
+        matrix = np.zeros((k, len(keys)))
+        matrix[own[known], place[known]] = x["weight"][known] if x is left else 1
+        held.append(matrix)
+    n_a, n_b = left["n"][at_a][:, None], right["n"][at_b][None, :]
+    most, both = np.maximum(n_a, n_b), n_a + n_b
     # whatever they share outside both prefixes lies in the rest of one of them
-    rest = "(4 * greatest(n_a, n_b) + 4) div 5 - 1"
-    return counted.filter(f"9 * (c + {rest}) >= 4 * (n_a + n_b)").select("a", "b")
+    fit = (9 * (held[0] @ held[1].T + (4 * most + 4) // 5 - 1) >= 4 * both) & (5 * (both - most) >= 4 * most)
+    return nodes[(fit & (left["root"][at_a][:, None] != right["root"][at_b][None, :])).any(axis=1)]
+
+
+def spanning(left: list[dict], right: list[dict]) -> list[dict]:
+    """Links of members (node, root, own: their set) of one list with those of the other that connect all that any
+    links of these connect; members with the same root are connected."""
+    top: dict[int, int] = {m["root"]: m["root"] for m in (*left, *right)}
+
+    def first(root: int) -> int:
+        while top[root] != root:
+            root = top[root]
+        return root
+
+    sets = [np.frombuffer(m["own"], np.uint64) for m in right]
+    union, at = np.unique(np.concatenate(sets), return_inverse=True)
+    starts = np.cumsum([0, *map(len, sets)])
+    sizes, links = np.diff(starts), []
+    for m in left:
+        others = np.array([first(o["root"]) != first(m["root"]) for o in right])
+        if not others.any():
+            continue
+        own = np.frombuffer(m["own"], np.uint64)
+        place = np.minimum(np.searchsorted(union, own), len(union) - 1)
+        hit = np.zeros(len(union), np.int32)
+        hit[place[union[place] == own]] = 1
+        both = np.add.reduceat(hit[at], starts[:-1])
+        for j in np.flatnonzero(others & (9 * both >= 4 * (sizes + len(own)))).tolist():
+            a, b = first(m["root"]), first(right[j]["root"])
+            if a != b:
+                top[max(a, b)] = min(a, b)
+                links.append({"a": m["node"], "b": right[j]["node"]})
+    return links
+
+
+def _entries_of(lists: pa.Array) -> Iterator[dict[str, np.ndarray]]:
+    fields = {f.name: lists.values.field(f.name).to_numpy() for f in lists.type.value_type}
+    ends = lists.offsets.to_numpy()
+    for a, b in zip(ends, ends[1:]):
+        yield {name: x[a:b] for name, x in fields.items()}
+
+
+def _asked(tiled: DataFrame) -> DataFrame:
+    """Nodes of the tile ``a`` and tiles ``b`` with which they may have a link."""
+    pairs = land(_meeting(tiled), "pairs", free=True)
+    entries = tiled.groupBy("tile").agg(F.collect_list(F.struct("key", "weight", "node", "n", "root")).alias("e"))
+
+    def column(left: pa.Array, right: pa.Array) -> pa.Array:
+        return pa.array([promising(*both) for both in zip(_entries_of(left), _entries_of(right))], pa.list_(pa.int64()))
+
+    both = pairs.join(entries.toDF("a", "left"), "a").join(entries.toDF("b", "right"), "b")
+    return land(both.select("a", "b", F.explode(F.arrow_udf(column, "array<bigint>")("left", "right")).alias("node")), "asked", free=True)
+
+
+def _compared(texts: DataFrame, tiled: DataFrame) -> DataFrame:
+    """Links ``a``, ``b`` of nodes that connect what the links between components connect."""
+    asked, members = _asked(tiled), tiled.select("node", "root", "tile").distinct()
+    wanted = asked.select("node").union(members.join(asked.select(F.col("b").alias("tile")).distinct(), "tile").select("node")).distinct()
+    rows = texts.select("node", "row").join(members.join(wanted, "node"), "node").groupBy("node", "root", "tile").agg(F.min("row").alias("row"))
+
+    def column(of: pa.Array) -> pa.Array:
+        return pa.array([shingle_set(x.as_py()).tobytes() for x in of], pa.binary())
+
+    own = texts.select("row", "text").join(land(rows, "rows", free=True), "row").select("tile", "node", "root", F.arrow_udf(column, "binary")("text").alias("own"))
+    own = land(own, "sets", free=True)
+
+    def links(left: pa.Array, right: pa.Array) -> pa.Array:
+        found = [spanning(a.as_py(), b.as_py()) for a, b in zip(left, right)]
+        return pa.array(found, pa.list_(pa.struct([("a", pa.int64()), ("b", pa.int64())])))
+
+    member = F.struct("node", "root", "own")
+    left = asked.join(own.drop("tile"), "node").groupBy("a", "b").agg(F.collect_list(member).alias("left"))
+    right = own.groupBy(F.col("tile").alias("b")).agg(F.collect_list(member).alias("right"))
+    linked = F.arrow_udf(links, "array<struct<a: bigint, b: bigint>>")("left", "right")
+    return land(left.join(right, "b").select(F.explode(linked).alias("l")).select("l.a", "l.b"), "links", free=True)
 
 
 def near_copies(texts: DataFrame) -> DataFrame:
@@ -181,6 +311,7 @@ def near_copies(texts: DataFrame) -> DataFrame:
     common = texts.sparkSession.sparkContext.broadcast(common_shingles(texts))
     entries = texts.select("node", "text").mapInArrow(lambda batches: _entries(batches, lambda own: prefix(own, *common.value)), _ENTRY_SQL)
     shared = land(entries.repartition("key").sortWithinPartitions("key", "node").mapInArrow(_of_several, _ENTRY_SQL), "shared", free=True)
+    shared = _merged(shared)
     links = _verified(texts, _proposed(texts, shared))
-    more = _verified(texts, _remaining(shared, components(links)))
+    more = _compared(texts, _tiled(shared, components(links)))
     return components(links.union(more))

@@ -73,3 +73,36 @@ def test_shuffles_are_removed_as_soon_as_read(spark, monkeypatch):
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     assert corpus_pipeline.one_of_each_group(spark, docs, "").count() == len(brute_force(list(enumerate(texts))))
     assert kept == []
+
+
+def crowd(size):
+    """Copies of one text with two or three changed words, which are about as alike as a link asks for."""
+    rng = random.Random(5)
+    base = [f"w{i}" for i in range(200)]
+    texts = []
+    for i in range(size):
+        own = list(base)
+        for k in rng.sample(range(200), 2 + i % 2):
+            own[k] = f"x{rng.randrange(10**6)}"
+        texts.append(" ".join(own))
+    return list(enumerate(texts + [f"{rng.random()} {t}" for t in texts[:5]]))
+
+
+@pytest.mark.parametrize("tile, of", [(128, 16), (8, 2)])
+def test_a_crowd_is_compared_in_tiles(spark, monkeypatch, tile, of):
+    """No step writes a row for each pair of a crowd, and no link is lost."""
+    monkeypatch.setattr(near_copies, "TILE", tile)
+    monkeypatch.setattr(near_copies, "CROWD", of)
+    rows, written = crowd(300), {}
+    real = near_copies.land
+
+    def landed(df, label="landed", free=False):
+        out = real(df, label, free)
+        written[label] = max(written.get(label, 0), out.count())
+        return out
+
+    monkeypatch.setattr(near_copies, "land", landed)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = corpus_pipeline.one_of_each_group(spark, docs, "")
+    assert sorted(r.doc_id for r in got.collect()) == brute_force(rows)
+    assert max(written["pairs"], written["links"]) < 10 * len(rows)
