@@ -76,6 +76,36 @@ def test_many_lists_are_pruned(spark, monkeypatch):
     assert read < 150 * 3000 / 3
 
 
+def test_other_bundles_return_only_what_may_be_among_the_best(spark, monkeypatch):
+    monkeypatch.setattr(posting_lists, "BLOCK", 64)
+    rng = np.random.default_rng(4)
+    vectors = rng.normal(size=(2000, 16))
+    table = spark.createDataFrame([(i, [float(x) for x in v]) for i, v in enumerate(vectors)], "vec_id long, embedding array<double>")
+    index = posting_lists.build(table, 20)
+    returned = []
+    compared = posting_lists._compared
+
+    def counted(reading, postings, k):
+        out = compared(reading, postings, k)
+        returned.append((out.count(), reading.count()))
+        return out
+
+    monkeypatch.setattr(posting_lists, "_compared", counted)
+    asked = table.filter("vec_id % 20 = 0").withColumnRenamed("vec_id", "query_id")
+    rows = posting_lists.search(index, asked).collect()
+    bundles = sum(n for _, n in returned)
+    assert bundles > 8 * 100 and sum(n for n, _ in returned) < 0.6 * 21 * bundles
+    lists = index.centroids.read(vectors[::20])
+    of = {r.entry: [] for r in index.entries.collect()}
+    for r in index.postings.collect():
+        of[r.entry].append(r.list)
+    for q in range(0, 2000, 20):  # as from all lists that it reads, at once
+        own = set(lists[q // 20].tolist())
+        there = [i for i in range(2000) if i != q and own & set(of[i])]
+        want = sorted(there, key=lambda i: (-float((vectors[i] * vectors[q]).sum()), i))[:20]
+        assert [r.vec_id for r in sorted((r for r in rows if r.query_id == q), key=lambda r: r.rank)] == want
+
+
 def _best(vectors, q):
     scores = -vectors @ vectors[q]
     return [int(i) for i in np.argsort(scores, kind="stable") if i != q][:20]
