@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 
 from millrace.llm.components import components
 from millrace.llm.simhash_dedup import near_links, shingle_hashes, vote
-from millrace.storage import land
+from millrace.storage import discard, land
 
 WORDS_IN_SHINGLE = 5
 SAMPLE_TEXTS = 10_000
@@ -46,6 +46,9 @@ NODES_SEEN = 100_000
 CROWD = 16
 TILE = 128
 TOKENS = 1 << 15
+BITS_A_ROW = 16
+MOST_BITS = 1 << 27
+SLICE = 1 << 16
 _ENTRY = pa.schema([("key", pa.int64()), ("node", pa.int64()), ("n", pa.int64())])
 _ENTRY_SQL = "key long, node long, n long"
 
@@ -144,18 +147,47 @@ def _of_several(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(c) for c in last], schema=_ENTRY)
 
 
+def _narrowed(texts: DataFrame, rows: DataFrame) -> DataFrame:
+    """Texts without most of those that aren't in ``rows``, so that a join with these doesn't shuffle them all.
+
+    A bit for each hash of a row tells; there are at least BITS_A_ROW bits for each row, up to MOST_BITS in all, made in slices.
+    """
+    bits = min(MOST_BITS, max(SLICE, 1 << (BITS_A_ROW * rows.count()).bit_length()))
+    at = F.pmod(F.xxhash64("row"), F.lit(bits))
+
+    def marked(slice_: tuple, part: pa.Table) -> pa.Table:
+        seen = np.zeros(SLICE, np.uint8)
+        seen[part["at"].to_numpy() % SLICE] = 1
+        return pa.table({"slice": pa.array([slice_[0].as_py()], pa.int64()), "bits": pa.array([np.packbits(seen).tobytes()], pa.binary())})
+
+    slices = rows.select(at.alias("at")).groupBy(F.floor(F.col("at") / SLICE).alias("slice")).applyInArrow(marked, "slice long, bits binary").toArrow()
+    table = np.zeros(bits // 8, np.uint8)
+    for k, part in zip(slices["slice"].to_pylist(), slices["bits"].to_pylist()):
+        table[k * SLICE // 8 : (k + 1) * SLICE // 8] = np.frombuffer(part, np.uint8)
+    known = texts.sparkSession.sparkContext.broadcast(table)
+
+    def column(at: pa.Array) -> pa.Array:
+        place = at.to_numpy()
+        return pa.array((known.value[place >> 3] >> (7 - (place & 7)).astype(np.uint8)) & 1 == 1)
+
+    return texts.filter(F.arrow_udf(column, "boolean")(at))
+
+
 def _verified(texts: DataFrame, pairs: DataFrame) -> DataFrame:
     """Those of the pairs ``a``, ``b`` of nodes whose texts are alike."""
     pairs = land(pairs, "pairs", free=True)
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
     rows = texts.select("node", "row").join(wanted, "node", "left_semi").groupBy("node").agg(F.min("row").alias("row"))
-    own = texts.select("row", "text").join(land(rows, "rows", free=True), "row").select("node", "text")
+    rows = land(rows, "rows", free=True)
+    own = land(_narrowed(texts.select("row", "text"), rows).join(rows, "row").select("node", "text"), "texts", free=True)
 
     def column(a: pa.Array, b: pa.Array) -> pa.Array:
         return pa.array([alike(shingle_set(x.as_py()), shingle_set(y.as_py())) for x, y in zip(a, b)], pa.bool_())
 
     both = pairs.join(own.toDF("a", "text_a"), "a").join(own.toDF("b", "text_b"), "b")
-    return land(both.filter(F.arrow_udf(column, "boolean")("text_a", "text_b")).select("a", "b"), "links", free=True)
+    links = land(both.filter(F.arrow_udf(column, "boolean")("text_a", "text_b")).select("a", "b"), "links", free=True)
+    discard(pairs, rows, own)
+    return links
 
 
 def _merged(shared: DataFrame) -> DataFrame:
@@ -194,7 +226,9 @@ def _tiled(shared: DataFrame, roots: DataFrame) -> DataFrame:
     homes = open_.groupBy("node", "n").agg(most).select("node", "n", home, size)
     parts = homes.groupBy("home", "size").agg(F.ceil(F.greatest(F.count(F.lit(1)) / TILE, F.sum("n") / TOKENS)).alias("parts"))
     tile = F.xxhash64("home", "size", F.pmod(F.xxhash64("node"), "parts")).alias("tile")
-    return land(open_.drop("often").join(homes.join(parts, ["home", "size"]).select("node", tile), "node"), "tiled", free=True)
+    tiled = land(open_.drop("often").join(homes.join(parts, ["home", "size"]).select("node", tile), "node"), "tiled", free=True)
+    discard(open_)
+    return tiled
 
 
 def _meeting(tiled: DataFrame) -> DataFrame:
@@ -279,7 +313,9 @@ def _asked(tiled: DataFrame) -> DataFrame:
         return pa.array([promising(*both) for both in zip(_entries_of(left), _entries_of(right))], pa.list_(pa.int64()))
 
     both = pairs.join(entries.toDF("a", "left"), "a").join(entries.toDF("b", "right"), "b")
-    return land(both.select("a", "b", F.explode(F.arrow_udf(column, "array<bigint>")("left", "right")).alias("node")), "asked", free=True)
+    asked = land(both.select("a", "b", F.explode(F.arrow_udf(column, "array<bigint>")("left", "right")).alias("node")), "asked", free=True)
+    discard(pairs)
+    return asked
 
 
 def _compared(texts: DataFrame, tiled: DataFrame) -> DataFrame:
@@ -291,7 +327,8 @@ def _compared(texts: DataFrame, tiled: DataFrame) -> DataFrame:
     def column(of: pa.Array) -> pa.Array:
         return pa.array([shingle_set(x.as_py()).tobytes() for x in of], pa.binary())
 
-    own = texts.select("row", "text").join(land(rows, "rows", free=True), "row").select("tile", "node", "root", F.arrow_udf(column, "binary")("text").alias("own"))
+    rows = land(rows, "rows", free=True)
+    own = _narrowed(texts.select("row", "text"), rows).join(rows, "row").select("tile", "node", "root", F.arrow_udf(column, "binary")("text").alias("own"))
     own = land(own, "sets", free=True)
 
     def links(left: pa.Array, right: pa.Array) -> pa.Array:
@@ -299,10 +336,12 @@ def _compared(texts: DataFrame, tiled: DataFrame) -> DataFrame:
         return pa.array(found, pa.list_(pa.struct([("a", pa.int64()), ("b", pa.int64())])))
 
     member = F.struct("node", "root", "own")
-    left = asked.join(own.drop("tile"), "node").groupBy("a", "b").agg(F.collect_list(member).alias("left"))
+    left = asked.join(own.drop("tile"), "node").repartition("b").groupBy("a", "b").agg(F.collect_list(member).alias("left"))  # by b alone: so it also meets the right
     right = own.groupBy(F.col("tile").alias("b")).agg(F.collect_list(member).alias("right"))
     linked = F.arrow_udf(links, "array<struct<a: bigint, b: bigint>>")("left", "right")
-    return land(left.join(right, "b").select(F.explode(linked).alias("l")).select("l.a", "l.b"), "links", free=True)
+    links = land(left.join(right, "b").select(F.explode(linked).alias("l")).select("l.a", "l.b"), "links", free=True)
+    discard(asked, rows, own)
+    return links
 
 
 def near_copies(texts: DataFrame) -> DataFrame:
@@ -311,7 +350,11 @@ def near_copies(texts: DataFrame) -> DataFrame:
     common = texts.sparkSession.sparkContext.broadcast(common_shingles(texts))
     entries = texts.select("node", "text").mapInArrow(lambda batches: _entries(batches, lambda own: prefix(own, *common.value)), _ENTRY_SQL)
     shared = land(entries.repartition("key").sortWithinPartitions("key", "node").mapInArrow(_of_several, _ENTRY_SQL), "shared", free=True)
-    shared = _merged(shared)
-    links = _verified(texts, _proposed(texts, shared))
-    more = _compared(texts, _tiled(shared, components(links)))
+    merged = _merged(shared)
+    discard(shared)
+    links = _verified(texts, _proposed(texts, merged))
+    tiled = _tiled(merged, components(links))
+    discard(merged)
+    more = _compared(texts, tiled)
+    discard(tiled)
     return components(links.union(more))

@@ -106,3 +106,13 @@ def test_a_crowd_is_compared_in_tiles(spark, monkeypatch, tile, of):
     got = corpus_pipeline.one_of_each_group(spark, docs, "")
     assert sorted(r.doc_id for r in got.collect()) == brute_force(rows)
     assert max(written["pairs"], written["links"]) < 10 * len(rows)
+
+
+def test_only_wanted_texts_are_shuffled(spark):
+    """A join with few rows gets few texts, and all of these, whatever the rows are numbered by."""
+    texts = spark.range(3000).selectExpr("xxhash64(id) AS row", "concat('text ', id) AS text", "id")
+    rows = texts.filter("id % 60 = 7").select("row")
+    kept = near_copies._narrowed(texts, rows)
+    assert kept.join(rows, "row", "left_semi").count() == 50
+    assert kept.count() < 100
+    assert near_copies._narrowed(texts, rows.limit(0)).count() == 0
