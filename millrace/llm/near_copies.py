@@ -12,8 +12,10 @@ pairs remain. Shingles that the same texts have are one entry with a weight.
 Of texts alike, as many as share a shingle make pairs with each other, so these
 aren't rows: texts near in size that have the same most frequent first shingle
 are packed into tiles of about ``TILE`` texts and ``TOKENS`` shingles, tiles that share enough
-first shingles meet, and a task compares all texts of two tiles at once: their first shingles, then whole
-sets. It returns no more links than it takes to connect them. Every link is verified by the exact similarity of the two sets.
+first shingles meet, and a task compares all texts of two tiles at once: the first shingles that both tiles have, then sketches,
+then whole sets. A sketch has the parity of the number of shingles in each bucket of their hashes: sets that differ in d shingles
+differ in at most d parities, so what a sketch rules out isn't alike, and only sets that it doesn't rule out are moved.
+A task returns no more links than it takes to connect them. Every link is verified by the exact similarity of the two sets.
 
 The order takes common shingles from a sample of texts. It decides what is
 compared needlessly, not what is found: any order finds every pair.
@@ -25,12 +27,12 @@ told apart by 64-bit hashes.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.llm.components import components
@@ -46,6 +48,8 @@ NODES_SEEN = 100_000
 CROWD = 16
 TILE = 128
 TOKENS = 1 << 15
+BUCKETS_A_SHINGLE = 2
+LEAST_BUCKETS = 64
 BITS_A_ROW = 16
 MOST_BITS = 1 << 27
 SLICE = 1 << 16
@@ -226,44 +230,76 @@ def _tiled(shared: DataFrame, roots: DataFrame) -> DataFrame:
     homes = open_.groupBy("node", "n").agg(most).select("node", "n", home, size)
     parts = homes.groupBy("home", "size").agg(F.ceil(F.greatest(F.count(F.lit(1)) / TILE, F.sum("n") / TOKENS)).alias("parts"))
     tile = F.xxhash64("home", "size", F.pmod(F.xxhash64("node"), "parts")).alias("tile")
-    tiled = land(open_.drop("often").join(homes.join(parts, ["home", "size"]).select("node", tile), "node"), "tiled", free=True)
+    place = (F.row_number().over(Window.partitionBy("tile").orderBy("node")) - 1).alias("place")
+    placed = homes.join(parts, ["home", "size"]).select("node", tile).select("node", "tile", place)
+    tiled = land(open_.drop("often").join(placed, "node"), "tiled", free=True)
     discard(open_)
     return tiled
 
 
 def _meeting(tiled: DataFrame) -> DataFrame:
-    """Pairs ``a``, ``b`` of tiles, once each, that may hold a link between two components."""
+    """Pairs ``a``, ``b`` of tiles, once each, that may hold a link between two components, with ``held``: for each
+    first shingle that both have, its weight and the places of the members that have it."""
     one = F.when(F.min("root") == F.max("root"), F.min("root")).alias("whole")
     tiles = land(tiled.groupBy("tile").agg(one, F.min("n").alias("low"), F.max("n").alias("high")), "tiles", free=True)
-    held = tiled.groupBy("key", "tile").agg(F.min("weight").alias("weight")).join(tiles, "tile")
+    places = F.collect_list("place").alias("places")
+    held = tiled.groupBy("key", "tile").agg(F.min("weight").alias("weight"), places).join(tiles, "tile")
     sides = [held.toDF(*(f"{c}_{x}" if c not in ("key", "weight") else c for c in held.columns)) for x in ("a", "b")]
     fit = "tile_a < tile_b AND 5 * high_a >= 4 * low_b AND 5 * high_b >= 4 * low_a AND (whole_a IS NULL OR whole_b IS NULL OR whole_a <> whole_b)"
-    met = sides[0].join(sides[1].drop("weight"), "key").filter(fit)
-    counted = met.groupBy("tile_a", "tile_b", "low_a", "high_a", "low_b", "high_b").agg(F.sum("weight").alias("c"))
+    met = sides[0].join(sides[1].drop("weight"), "key").filter(f"({fit}) OR (tile_a = tile_b AND whole_a IS NULL)").repartition("tile_a")
+    each = F.collect_list(F.struct("weight", "places_a", "places_b")).alias("held")
+    counted = met.groupBy("tile_a", "tile_b", "low_a", "high_a", "low_b", "high_b").agg(F.sum("weight").alias("c"), each)
     # what sizes m >= s must share at least, 20 * s - 16 * m + 9 of 45, is least for the largest m and the smallest s
     enough = counted.filter("45 * c >= 9 + greatest(0, least(20 * low_b - 16 * high_a, 20 * low_a - 16 * high_b))")
-    return enough.select("tile_a", "tile_b").union(tiles.filter("whole IS NULL").select("tile", "tile")).toDF("a", "b")
+    return enough.select(F.col("tile_a").alias("a"), F.col("tile_b").alias("b"), "held")
 
 
-def promising(left: dict[str, np.ndarray], right: dict[str, np.ndarray]) -> np.ndarray:
+def promising(weight: np.ndarray, held: tuple[np.ndarray, np.ndarray], left: dict[str, np.ndarray], right: dict[str, np.ndarray]) -> np.ndarray:
     """Nodes of one tile that share enough first shingles with a node of the other, of another component, for a link.
 
-    Both are entries: ``key``, ``weight``, ``node``, ``n`` and ``root``, as arrays.
+    ``held`` tells for either tile which members (columns) have which shingles; ``left`` and ``right`` are the members: ``node``, ``n`` and ``root``.
     """
-    (nodes, at_a, i), (_, at_b, j) = (np.unique(x["node"], return_index=True, return_inverse=True) for x in (left, right))
-    keys = np.intersect1d(left["key"], right["key"])
-    held = []
-    for x, own, k in ((left, i, len(at_a)), (right, j, len(at_b))):
-        place = np.minimum(np.searchsorted(keys, x["key"]), len(keys) - 1)
-        known = keys[place] == x["key"]
-        matrix = np.zeros((k, len(keys)))
-        matrix[own[known], place[known]] = x["weight"][known] if x is left else 1
-        held.append(matrix)
-    n_a, n_b = left["n"][at_a][:, None], right["n"][at_b][None, :]
+    n_a, n_b = left["n"][:, None], right["n"][None, :]
     most, both = np.maximum(n_a, n_b), n_a + n_b
     # whatever they share outside both prefixes lies in the rest of one of them
-    fit = (9 * (held[0] @ held[1].T + (4 * most + 4) // 5 - 1) >= 4 * both) & (5 * (both - most) >= 4 * most)
-    return nodes[(fit & (left["root"][at_a][:, None] != right["root"][at_b][None, :])).any(axis=1)]
+    fit = (9 * ((held[0] * weight[:, None]).T @ held[1] + (4 * most + 4) // 5 - 1) >= 4 * both) & (5 * (both - most) >= 4 * most)
+    return left["node"][(fit & (left["root"][:, None] != right["root"][None, :])).any(axis=1)]
+
+
+def sketch(own: np.ndarray) -> np.ndarray:
+    """For each of a power of two of buckets the parity of the number of hashes in it, 64 to a word."""
+    buckets = max(LEAST_BUCKETS, 1 << (BUCKETS_A_SHINGLE * len(own)).bit_length())
+    counts = np.bincount((own & np.uint64(buckets - 1)).astype(np.int64), minlength=buckets)
+    return np.packbits((counts & 1).astype(np.uint8)).view(np.uint64)
+
+
+def folded(sketches: np.ndarray, words: int) -> np.ndarray:
+    """Sketches (rows) as they are with fewer buckets."""
+    while sketches.shape[-1] > words:
+        half = sketches.shape[-1] // 2
+        sketches = sketches[..., :half] ^ sketches[..., half:]
+    return sketches
+
+
+def near(left: list[dict], right: list[dict]) -> tuple[list[int], list[int]]:
+    """Nodes of either list of members (node, root, n, own: their sketch) that a sketch doesn't tell apart from all
+    members of other components in the other."""
+    sketches = [np.frombuffer(m["own"], np.uint64) for m in right]
+    n, root = np.array([m["n"] for m in right]), np.array([m["root"] for m in right])
+    by_words = {w: np.flatnonzero([len(x) == w for x in sketches]) for w in {len(x) for x in sketches}}
+    stacks = {w: np.stack([sketches[j] for j in at]) for w, at in by_words.items()}
+    kept, hit = [], np.zeros(len(right), bool)
+    for m in left:
+        own, some = np.frombuffer(m["own"], np.uint64), False
+        for w, at in by_words.items():
+            words = min(w, len(own))
+            differ = np.bitwise_count(folded(own, words) ^ folded(stacks[w], words)).sum(axis=1, dtype=np.int64)
+            fit = (9 * differ <= n[at] + m["n"]) & (root[at] != m["root"])
+            hit[at[fit]] = True
+            some |= bool(fit.any())
+        if some:
+            kept.append(m["node"])
+    return kept, [m["node"] for m, of in zip(right, hit) if of]
 
 
 def spanning(left: list[dict], right: list[dict]) -> list[dict]:
@@ -297,50 +333,95 @@ def spanning(left: list[dict], right: list[dict]) -> list[dict]:
     return links
 
 
-def _entries_of(lists: pa.Array) -> Iterator[dict[str, np.ndarray]]:
+def _parts(lists: pa.Array) -> Iterator[tuple[int, int]]:
+    ends = lists.offsets.to_numpy().tolist()
+    return zip(ends, ends[1:])
+
+
+def _members_of(lists: pa.Array) -> Iterator[dict[str, np.ndarray]]:
     fields = {f.name: lists.values.field(f.name).to_numpy() for f in lists.type.value_type}
-    ends = lists.offsets.to_numpy()
-    for a, b in zip(ends, ends[1:]):
+    for a, b in _parts(lists):
         yield {name: x[a:b] for name, x in fields.items()}
 
 
+def _marks(places: pa.Array, a: int, b: int, members: int) -> np.ndarray:
+    """Lists of places as rows of zeros and ones."""
+    ends = places.offsets.to_numpy()[a : b + 1]
+    out = np.zeros((b - a, members))
+    out[np.repeat(np.arange(b - a), np.diff(ends)), places.values.to_numpy()[ends[0] : ends[-1]]] = 1
+    return out
+
+
 def _asked(tiled: DataFrame) -> DataFrame:
     """Nodes of the tile ``a`` and tiles ``b`` with which they may have a link."""
-    pairs = land(_meeting(tiled), "pairs", free=True)
-    entries = tiled.groupBy("tile").agg(F.collect_list(F.struct("key", "weight", "node", "n", "root")).alias("e"))
+    members = tiled.select("tile", "place", "node", "n", "root").distinct().groupBy("tile").agg(F.sort_array(F.collect_list(F.struct("place", "node", "n", "root"))).alias("of"))
+
+    def column(held: pa.Array, left: pa.Array, right: pa.Array) -> pa.Array:
+        weight, *places = (held.values.field(f.name) for f in held.type.value_type)
+        weight, found = weight.to_numpy(), []
+        for (a, b), *both in zip(_parts(held), _members_of(left), _members_of(right)):
+            marks = tuple(_marks(x, a, b, len(of["node"])) for x, of in zip(places, both))
+            found.append(promising(weight[a:b], marks, *both))
+        return pa.array(found, pa.list_(pa.int64()))
+
+    both = _meeting(tiled).join(members.toDF("a", "left"), "a").join(members.toDF("b", "right"), "b")
+    return land(both.select("a", "b", F.explode(F.arrow_udf(column, "array<bigint>")("held", "left", "right")).alias("node")), "asked", free=True)
+
+
+def _owned(texts: DataFrame, rows: DataFrame, of: Callable[[np.ndarray], np.ndarray], label: str) -> DataFrame:
+    """The rows of members with ``own``: what ``of`` makes of their sets."""
+
+    def column(some: pa.Array) -> pa.Array:
+        return pa.array([of(shingle_set(x.as_py())).tobytes() for x in some], pa.binary())
+
+    own = F.arrow_udf(column, "binary")("text").alias("own")
+    return land(_narrowed(texts.select("row", "text"), rows).join(rows, "row").select("tile", "node", "n", "root", own), label, free=True)
+
+
+def _side_by_side(asked: DataFrame, there: DataFrame, own: DataFrame) -> DataFrame:
+    """``left``, the members that are asked, and ``right``, those of ``there``, for each pair of tiles."""
+    member = F.struct("node", "root", "n", "own")
+    left = asked.join(own.drop("tile"), "node").repartition("b").groupBy("a", "b").agg(F.collect_list(member).alias("left"))  # by b alone: so it also meets the right
+    right = there.groupBy(F.col("tile").alias("b")).agg(F.collect_list(member).alias("right"))
+    return left.join(right, "b")
+
+
+def _near(texts: DataFrame, rows: DataFrame, asked: DataFrame) -> DataFrame:
+    """Pairs ``a``, ``b`` of tiles with the nodes on either side, ``left`` and ``right``, that sketches don't rule out."""
+    own = _owned(texts, rows, sketch, "sketches")
 
     def column(left: pa.Array, right: pa.Array) -> pa.Array:
-        return pa.array([promising(*both) for both in zip(_entries_of(left), _entries_of(right))], pa.list_(pa.int64()))
+        found = [near(a.as_py(), b.as_py()) for a, b in zip(left, right)]
+        kind = pa.list_(pa.int64())
+        return pa.StructArray.from_arrays([pa.array(x, kind) for x in zip(*found)] if found else [pa.array([], kind)] * 2, ["left", "right"])
 
-    both = pairs.join(entries.toDF("a", "left"), "a").join(entries.toDF("b", "right"), "b")
-    asked = land(both.select("a", "b", F.explode(F.arrow_udf(column, "array<bigint>")("left", "right")).alias("node")), "asked", free=True)
-    discard(pairs)
-    return asked
+    both = _side_by_side(asked, own, own)
+    fit = F.arrow_udf(column, "left array<bigint>, right array<bigint>")("left", "right").alias("fit")
+    found = land(both.select("a", "b", fit).select("a", "b", "fit.*").filter("size(left) > 0"), "near", free=True)
+    discard(own)
+    return found
 
 
 def _compared(texts: DataFrame, tiled: DataFrame) -> DataFrame:
     """Links ``a``, ``b`` of nodes that connect what the links between components connect."""
-    asked, members = _asked(tiled), tiled.select("node", "root", "tile").distinct()
+    asked, members = _asked(tiled), tiled.select("node", "n", "root", "tile").distinct()
     wanted = asked.select("node").union(members.join(asked.select(F.col("b").alias("tile")).distinct(), "tile").select("node")).distinct()
-    rows = texts.select("node", "row").join(members.join(wanted, "node"), "node").groupBy("node", "root", "tile").agg(F.min("row").alias("row"))
-
-    def column(of: pa.Array) -> pa.Array:
-        return pa.array([shingle_set(x.as_py()).tobytes() for x in of], pa.binary())
-
+    rows = texts.select("node", "row").join(members.join(wanted, "node"), "node").groupBy("node", "n", "root", "tile").agg(F.min("row").alias("row"))
     rows = land(rows, "rows", free=True)
-    own = _narrowed(texts.select("row", "text"), rows).join(rows, "row").select("tile", "node", "root", F.arrow_udf(column, "binary")("text").alias("own"))
-    own = land(own, "sets", free=True)
+    found = _near(texts, rows, asked)
+    asking = found.select("a", "b", F.explode("left").alias("node"))
+    answering = found.select(F.explode("right").alias("node")).distinct()
+    left = land(rows.join(asking.select("node").union(answering).distinct(), "node", "left_semi").select(*rows.columns), "rows", free=True)
+    own = _owned(texts, left, lambda own: own, "sets")
 
     def links(left: pa.Array, right: pa.Array) -> pa.Array:
-        found = [spanning(a.as_py(), b.as_py()) for a, b in zip(left, right)]
-        return pa.array(found, pa.list_(pa.struct([("a", pa.int64()), ("b", pa.int64())])))
+        linked = [spanning(a.as_py(), b.as_py()) for a, b in zip(left, right)]
+        return pa.array(linked, pa.list_(pa.struct([("a", pa.int64()), ("b", pa.int64())])))
 
-    member = F.struct("node", "root", "own")
-    left = asked.join(own.drop("tile"), "node").repartition("b").groupBy("a", "b").agg(F.collect_list(member).alias("left"))  # by b alone: so it also meets the right
-    right = own.groupBy(F.col("tile").alias("b")).agg(F.collect_list(member).alias("right"))
+    both = _side_by_side(asking, own.join(answering, "node", "left_semi"), own)
     linked = F.arrow_udf(links, "array<struct<a: bigint, b: bigint>>")("left", "right")
-    links = land(left.join(right, "b").select(F.explode(linked).alias("l")).select("l.a", "l.b"), "links", free=True)
-    discard(asked, rows, own)
+    links = land(both.select(F.explode(linked).alias("l")).select("l.a", "l.b"), "links", free=True)
+    discard(asked, rows, found, left, own)
     return links
 
 

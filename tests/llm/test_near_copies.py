@@ -6,6 +6,7 @@ import random
 from itertools import combinations
 
 import corpus_pipeline
+import numpy as np
 import pytest
 
 from millrace.llm import components, near_copies
@@ -116,3 +117,44 @@ def test_only_wanted_texts_are_shuffled(spark):
     assert kept.join(rows, "row", "left_semi").count() == 50
     assert kept.count() < 100
     assert near_copies._narrowed(texts, rows.limit(0)).count() == 0
+
+
+def member(node, own, sketched=True):
+    return {"node": node, "root": node, "n": len(own), "own": (near_copies.sketch(own) if sketched else own).tobytes()}
+
+
+def test_sketches_rule_out_no_link():
+    """Sets on the edge of a link, of sizes whose sketches have the same or other lengths; half alike ones are ruled out."""
+    rng = np.random.default_rng(3)
+    for n in (1, 4, 9, 31, 33, 100, 127, 130, 1000, 4100):
+        for _ in range(20):
+            both = rng.integers(0, 1 << 64, n, np.uint64, endpoint=False)
+            apart = rng.integers(0, 1 << 64, n // 4, np.uint64, endpoint=False)
+            cut = rng.integers(0, len(apart) + 1)
+            a, b = np.union1d(both, apart[:cut]), np.union1d(both, apart[cut:])
+            assert near_copies.alike(a, b)
+            assert near_copies.near([member(1, a)], [member(2, b)]) == ([1], [2])
+        if n >= 100:
+            assert near_copies.near([member(1, both)], [member(2, np.union1d(both[: n // 2], ~both[n // 2 :]))]) == ([], [])
+
+
+def test_sets_that_only_share_a_passage_are_not_moved(spark, monkeypatch):
+    """They share enough first shingles for a link; the more texts there are, the more of these."""
+    rng, rows, sizes = random.Random(9), [], {}
+    for k in range(60):
+        passage = [f"p{k}w{i}" for i in range(70)]
+        rows += [" ".join(passage + [f"t{rng.random()}" for _ in range(30)]) for _ in range(2)]
+    rows = list(enumerate(rows + [rows[0] + " end"]))
+    real = near_copies.land
+
+    def landed(df, label="landed", free=False):
+        out = real(df, label, free)
+        sizes[label] = out.count()
+        return out
+
+    monkeypatch.setattr(near_copies, "land", landed)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = corpus_pipeline.one_of_each_group(spark, docs, "")
+    assert sorted(r.doc_id for r in got.collect()) == brute_force(rows)
+    assert sizes["asked"] > 40
+    assert sizes["sets"] <= 2
